@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from . import decontaminate
 from .bpe import op9_bpe
+from .decontaminate import op1_decontaminate
+from .langid import op4_langid
+from .simhash import op10_simhash
 
-QUERIES = {"op9_bpe": op9_bpe}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_langid, op9_bpe, op10_simhash)}
+SQL: dict[str, str] = {"op1_decontaminate": decontaminate.SQL}
