@@ -7,10 +7,11 @@ from .bpe import op9_bpe
 from .decontaminate import op1_decontaminate
 from .embeddings import op6_embeddings
 from .langid import op4_langid
+from .licences import op7_licences
 from .quality import op2_quality
 from .sharding import op8_sharding
 from .simhash import op10_simhash
 from .suffix import op3_suffix_dedup
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_suffix_dedup, op4_langid, op6_embeddings, op8_sharding, op9_bpe, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality, op3_suffix_dedup, op4_langid, op6_embeddings, op7_licences, op8_sharding, op9_bpe, op10_simhash)}
 SQL: dict[str, str] = {"op1_decontaminate": decontaminate.SQL}
