@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_bytes
 
+#: Name of the column that tells a document's chunk.
+CHUNK = "_chunk"
 #: Bytes of text a chunk and a bucket stand for, on average; symbols hashed at once.
 CHUNK_BYTES, BUCKET_BYTES, BLOCK = 4 << 20, 8 << 20, 1 << 17
 MIX1, MIX2, BASE = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15
@@ -96,10 +98,13 @@ class Plan:
         total = text_bytes(docs)
         self.chunks, self.buckets = max(1, -(-total // chunk_bytes)), max(1, -(-total // bucket_bytes))
 
+    def chunk(self) -> Column:
+        """The chunk of a doc_id; rows of one doc_id share it."""
+        return F.pmod(F.xxhash64("doc_id"), F.lit(self.chunks)).cast("long")
+
     def chunked(self, docs: DataFrame) -> DataFrame:
-        """docs (doc_id, text) with their chunk, dealt by it. Rows of one doc_id share a chunk."""
-        chunk = F.pmod(F.xxhash64("doc_id"), F.lit(self.chunks)).cast("long").alias("chunk")
-        return docs.select("doc_id", "text", chunk).repartition("chunk")
+        """docs with their chunk as the first column, dealt by it."""
+        return docs.select(self.chunk().alias(CHUNK), "*").repartition(CHUNK)
 
 
 #: Rows that go between chunks and buckets: data is packed arrays whose meaning depends on kind.

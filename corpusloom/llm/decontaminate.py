@@ -103,6 +103,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **bounds) -> DataFrame:
     return out.select("doc_id", "text_hash", "n_words", F.coalesce(covered(), F.lit(0).cast("long")).alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"), "spans", (F.size(items) >= ITEMS).alias("contaminated"))
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, **bounds) -> DataFrame:
+    """docs, all columns as they are, without the rows in which a window of WINDOW words of a benchmark item occurs.
+
+    Items of fewer words are left out here: one of a single common word would take most documents with it.
+    """
+    key = ["_doc", "_hash"]
+    rows = docs.select(F.col("doc_id").alias(key[0]), F.xxhash64("text").alias(key[1]), "text").filter("text is not null")
+    items = benchmark.filter(F.size(words(F.col("text"))) >= WINDOW)
+    gone = hits(rows, items, key, **bounds).select(*key)
+    return docs.join(gone, (F.col("doc_id").eqNullSafe(F.col(key[0]))) & (F.xxhash64("text") == F.col(key[1])), "left_anti")
+
+
 def op1_decontaminate(spark, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")

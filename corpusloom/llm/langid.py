@@ -234,6 +234,17 @@ def identify(docs: DataFrame, net: Network) -> DataFrame:
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
 
 
+def accept(docs: DataFrame, net: Network) -> DataFrame:
+    """The rows of docs, all columns as they are, whose text has a language; rows found und go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(net)
+        for b in batches:
+            yield b.filter(pa.array([x != UNKNOWN for x, _ in scorer.score(b.column("text").to_pylist())], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op4_langid(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(docs.select("doc_id", "text"), train(docs))

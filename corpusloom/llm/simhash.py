@@ -221,6 +221,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_first(docs: DataFrame) -> DataFrame:
+    """docs without the documents that are near copies of one with a smaller doc_id; rows without doc_id stay."""
+    gone = near_duplicates(docs).filter("doc_id != component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
 def op10_simhash(spark, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

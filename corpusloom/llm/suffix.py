@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import PACKED, Entries, Plan, anchors, bucket_of, codes, count_bucket, mix, packed, power
+from .chunks import CHUNK, PACKED, Entries, Plan, anchors, bucket_of, codes, count_bucket, mix, packed, power
 from .common import table
 
 #: Bytes of a removed string, of the anchors, and what a context has before and after an anchor's start.
@@ -176,7 +176,7 @@ class Chunk:
         self.replies = [r for r in rows if r["kind"] == 2]
         self.masks = {r["bucket"]: r["data"] for r in rows if r["kind"] == 4}
         self.ids, self.texts = docs["doc_id"].to_pylist(), [(t or "").encode() for t in docs["text"].to_pylist()]
-        self.id = docs["chunk"][0].as_py() if len(docs) else 0
+        self.id = docs[CHUNK][0].as_py() if len(docs) else 0
         self.copy = [d in copies for d in self.ids]
         own = [k for k, c in enumerate(self.copy) if not c and self.ids[k] is not None]
         self.own = own
@@ -249,13 +249,8 @@ def mix_bytes(rows: np.ndarray) -> np.ndarray:
     return mix(out)
 
 
-def spans(docs: DataFrame, hot: int = HOT, **sizes) -> DataFrame:
-    """For every row of docs (doc_id, text): doc_id, text_hash, n_bytes, n_removed, n_spans, kept_sha256, and spans (int64
-    pairs: start and end of each removed run).
-
-    A null text is empty. A whole text of SPAN bytes or more that a smaller doc_id has goes at once; rows of one doc_id count as one
-    document and never remove each other's bytes; a row without doc_id loses nothing and removes nothing. An empty table gives no rows; other columns are ignored.
-    """
+def _dedup(docs: DataFrame, finish, schema, hot: int = HOT, **sizes) -> DataFrame:
+    """finish (of a Chunk, by row: the bytes that go or None for none; and the table of its rows) over all chunks of docs."""
     plan = Plan(docs, **sizes)
     chunked = plan.chunked(docs)
     buckets = plan.buckets
@@ -263,7 +258,8 @@ def spans(docs: DataFrame, hot: int = HOT, **sizes) -> DataFrame:
     firsts = keys.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("c")).filter("c > 1")
     # a doc_id in several rows is left to the windows
     once = keys.groupBy("doc_id").agg(F.first("h").alias("h"), F.count("*").alias("c")).filter("c = 1").select("doc_id", "h")
-    copies = once.join(firsts, "h").filter("doc_id > first").select(F.lit(0).alias("kind"), F.pmod(F.xxhash64("doc_id"), F.lit(plan.chunks)).cast("long").alias("chunk"), F.col("doc_id").alias("bucket"), F.lit(None).cast("binary").alias("data"), F.lit(None).cast("binary").alias("more"))
+    none = F.lit(None).cast("binary")
+    copies = once.join(firsts, "h").filter("doc_id > first").select(F.lit(0).alias("kind"), plan.chunk().alias("chunk"), F.col("doc_id").alias("bucket"), none.alias("data"), none.alias("more"))
 
     def ask(docs_: pa.Table, replies: pa.Table) -> pa.Table:
         c = Chunk(docs_, replies)
@@ -278,45 +274,99 @@ def spans(docs: DataFrame, hot: int = HOT, **sizes) -> DataFrame:
             out.append((3, c.id, int(c.bucket[s]), c.ctx[s:e].tobytes(), c.owner[s:e].tobytes() + left.tobytes() + right.tobytes()))
         return packed(out)
 
-    def sort(rows_: pa.Table) -> pa.Table:
-        rows = rows_.to_pylist()
-        n = [len(r["more"]) // 10 for r in rows]
-        raw = np.concatenate([np.frombuffer(r["data"], np.uint8).reshape(-1, WIDE) for r in rows])
-        doc = np.concatenate([np.frombuffer(r["more"], np.int64, m) for r, m in zip(rows, n, strict=True)])
-        left, right = (np.concatenate([np.frombuffer(r["more"], np.uint8, m, (8 + k) * m) for r, m in zip(rows, n, strict=True)]) for k in (0, 1))
-        col = np.arange(WIDE) - LEFT
-        ctx = np.where((col >= -left.astype(np.int64)[:, None]) & (col < right[:, None]), raw.astype(np.uint16) + np.uint16(1), np.uint16(0))
-        mask, out, at = resolve(ctx, doc), [], 0
-        for r, m in zip(rows, n, strict=True):
-            if (own := mask[at : at + m]).any():
-                out.append((4, r["chunk"], r["bucket"], own.tobytes(), None))
-            at += m
-        return packed(out)
-
     def cut(docs_: pa.Table, replies: pa.Table) -> pa.Table:
         c = Chunk(docs_, replies)
         c.contexts(buckets)
-        gone, place, out = c.removed(), {k: i for i, k in enumerate(c.own)}, []
-        for k, (doc, raw) in enumerate(zip(c.ids, c.texts, strict=True)):
+        gone, place = c.removed(), {k: i for i, k in enumerate(c.own)}
+        rows = []
+        for k, raw in enumerate(c.texts):
             if c.copy[k]:
-                runs, kept, n = np.array([[0, len(raw)]]), b"", len(raw)
-            elif k in place:
-                own = gone[c.start[place[k]] : c.start[place[k] + 1]]
-                runs = np.flatnonzero(np.diff(np.r_[0, own.view(np.int8), 0])).reshape(-1, 2)
-                kept, n = np.frombuffer(raw, np.uint8)[~own].tobytes() if len(runs) else raw, int(own.sum())
+                rows.append(np.ones(len(raw), bool))
             else:
-                runs, kept, n = np.zeros((0, 2), np.int64), raw, 0
-            out.append((doc, hashlib.sha256(raw).hexdigest(), len(raw), n, len(runs), hashlib.sha256(kept).hexdigest(), runs.astype(np.int64).tobytes()))
+                rows.append(gone[c.start[place[k]] : c.start[place[k] + 1]] if k in place else None)
+        return finish(c, rows, docs_)
+
+    def meet(replies: DataFrame, f, schema_) -> DataFrame:
+        return chunked.groupBy(CHUNK).cogroup(replies.groupBy("chunk")).applyInArrow(f, schema_)
+
+    counted = meet(copies, ask, PACKED).groupBy("bucket").applyInArrow(lambda t: count_bucket(t, hot), PACKED)
+    sorted_ = meet(copies.union(counted), send, PACKED).groupBy("bucket").applyInArrow(_sort, PACKED)
+    return meet(copies.union(counted).union(sorted_), cut, schema)
+
+
+def _sort(rows_: pa.Table) -> pa.Table:
+    """A bucket's contexts to their masks."""
+    rows = rows_.to_pylist()
+    n = [len(r["more"]) // 10 for r in rows]
+    raw = np.concatenate([np.frombuffer(r["data"], np.uint8).reshape(-1, WIDE) for r in rows])
+    doc = np.concatenate([np.frombuffer(r["more"], np.int64, m) for r, m in zip(rows, n, strict=True)])
+    left, right = (np.concatenate([np.frombuffer(r["more"], np.uint8, m, (8 + k) * m) for r, m in zip(rows, n, strict=True)]) for k in (0, 1))
+    col = np.arange(WIDE) - LEFT
+    ctx = np.where((col >= -left.astype(np.int64)[:, None]) & (col < right[:, None]), raw.astype(np.uint16) + np.uint16(1), np.uint16(0))
+    mask, out, at = resolve(ctx, doc), [], 0
+    for r, m in zip(rows, n, strict=True):
+        if (own := mask[at : at + m]).any():
+            out.append((4, r["chunk"], r["bucket"], own.tobytes(), None))
+        at += m
+    return packed(out)
+
+
+def runs(gone: np.ndarray | None) -> np.ndarray:
+    """Starts and ends [n, 2] of the runs of bytes that go."""
+    return np.zeros((0, 2), np.int64) if gone is None else np.flatnonzero(np.diff(np.r_[0, gone.view(np.int8), 0])).reshape(-1, 2)
+
+
+def spans(docs: DataFrame, **sizes) -> DataFrame:
+    """For every row of docs (doc_id, text): doc_id, text_hash, n_bytes, n_removed, n_spans, kept_sha256, and spans (int64
+    pairs: start and end of each removed run).
+
+    A null text is empty. A whole text of SPAN bytes or more that a smaller doc_id has goes at once; rows of one doc_id count as one
+    document and never remove each other's bytes; a row without doc_id loses nothing and removes nothing. An empty table gives no rows; other columns are ignored.
+    """
+
+    def finish(c: Chunk, gone: list, docs_: pa.Table) -> pa.Table:
+        out = []
+        for doc, raw, g in zip(c.ids, c.texts, gone, strict=True):
+            r = runs(g)
+            kept = np.frombuffer(raw, np.uint8)[~g].tobytes() if len(r) else raw
+            out.append((doc, hashlib.sha256(raw).hexdigest(), len(raw), len(raw) - len(kept), len(r), hashlib.sha256(kept).hexdigest(), r.astype(np.int64).tobytes()))
         types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
         names = [x.split()[0] for x in OUT.split(", ")]
         return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 7, types, strict=True)], names=names)
 
-    def meet(replies: DataFrame, f, schema: str) -> DataFrame:
-        return chunked.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(f, schema)
+    return _dedup(docs.select("doc_id", "text"), finish, OUT, **sizes)
 
-    counted = meet(copies, ask, PACKED).groupBy("bucket").applyInArrow(lambda t: count_bucket(t, hot), PACKED)
-    sorted_ = meet(copies.union(counted), send, PACKED).groupBy("bucket").applyInArrow(sort, PACKED)
-    return meet(copies.union(counted).union(sorted_), cut, OUT)
+
+def kept_text(raw: bytes, gone: np.ndarray) -> str:
+    """What is left of a text; a character goes if all its bytes go."""
+    b = np.frombuffer(raw, np.uint8)
+    if not len(b) or not gone.any():
+        return raw.decode()
+    begin = np.flatnonzero((b & 0xC0) != 0x80)
+    whole = np.repeat(np.minimum.reduceat(gone, begin), np.diff(np.r_[begin, len(b)]))
+    return b[~whole].tobytes().decode()
+
+
+def remove(docs: DataFrame, **sizes) -> DataFrame:
+    """docs without the passages that an earlier document has: text and, if there, n_chars are changed, other columns kept.
+
+    Rows whose text loses all but white space go; rows that had no text before stay.
+    """
+    schema = docs.schema
+
+    def finish(c: Chunk, gone: list, docs_: pa.Table) -> pa.Table:
+        texts = [kept_text(raw, g) if g is not None and g.any() else None for raw, g in zip(c.texts, gone, strict=True)]
+        old = docs_["text"].to_pylist()
+        new = [o if t is None else t for o, t in zip(old, texts, strict=True)]
+        out = docs_.drop([CHUNK])
+        out = out.set_column(out.schema.get_field_index("text"), "text", pa.array(new, pa.string()))
+        if "n_chars" in out.column_names:
+            k = out.schema.get_field_index("n_chars")
+            n = [v if t is None else len(t) for v, t in zip(out["n_chars"].to_pylist(), texts, strict=True)]
+            out = out.set_column(k, "n_chars", pa.array(n, out.schema.field(k).type))
+        return out.filter(pa.array([t is None or bool(t.strip()) for t in texts], pa.bool_()))
+
+    return _dedup(docs, finish, schema, **sizes)
 
 
 def op3_suffix_dedup(spark, sf_dir: str) -> DataFrame:
