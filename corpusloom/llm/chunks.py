@@ -19,7 +19,7 @@ from .common import text_bytes
 #: Name of the column that tells a document's chunk.
 CHUNK = "_chunk"
 #: Bytes of text a chunk and a bucket stand for, on average; symbols hashed at once.
-CHUNK_BYTES, BUCKET_BYTES, BLOCK = 4 << 20, 8 << 20, 1 << 17
+CHUNK_BYTES, BUCKET_BYTES, BLOCK = 2 << 20, 4 << 20, 1 << 16
 MIX1, MIX2, BASE = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15
 
 
@@ -60,13 +60,10 @@ def sliding(x: np.ndarray, w: int, f) -> np.ndarray:
 
 def anchors(sym: np.ndarray, start: np.ndarray, span: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the anchors of the sequences that begin at start (ascending, the last is len(sym))."""
-    room = np.zeros(len(sym) + 1, bool)  # windows that lie within a sequence
     w, at, val = span - k + 1, [], []
-    size = np.diff(start)
-    ok = np.repeat(size >= span, size)
-    left = np.repeat(start[1:], size) - np.arange(len(sym))
-    room[: len(sym)] = ok & (left >= span)
-    del ok, left
+    room = np.ones(len(sym), bool)  # windows that lie within a sequence
+    for s, e in zip(start[:-1].tolist(), start[1:].tolist(), strict=True):
+        room[max(s, e - span + 1) : e] = False
     for a in range(0, len(sym), BLOCK):
         # windows that start in [a, a + BLOCK) choose among grams in [a, a + BLOCK + w - 1)
         part = sym[a : a + BLOCK + span - 1]

@@ -16,7 +16,7 @@ from .common import table
 SPAN, GRAM = 50, 20
 LEFT, WIDE = SPAN - GRAM, 2 * SPAN - GRAM
 #: Chunks with an anchor beyond which its windows are dealt out one by one; contexts sorted at once.
-HOT, SLICE = 1024, 40_000
+HOT, SLICE = 1024, 20_000
 OUT = "doc_id long, text_hash string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans binary"
 
 
@@ -39,7 +39,7 @@ class SuffixSort:
     """
 
     def __init__(self, rows: np.ndarray, segment: np.ndarray):
-        self.rows, self.hash, self.width = rows, mix(prefix_hashes(rows)), rows.shape[1]
+        self.rows, self.hash, self.width = rows, prefix_hashes(rows), rows.shape[1]
         n = len(rows)
         self.order = np.arange(n)
         first = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]]) if n else np.zeros(0, np.int64)
@@ -119,48 +119,71 @@ def first_owners(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
-def resolve(ctx: np.ndarray, doc: np.ndarray) -> np.ndarray:
+def coded(raw: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Codes of contexts: byte + 1 within the text, which has left bytes before the anchor and right after, 0 beyond."""
+    col = np.arange(WIDE, dtype=np.int16) - LEFT
+    inside = (col >= -left.astype(np.int16)[:, None]) & (col < right[:, None])
+    return np.where(inside, raw.astype(np.uint16) + np.uint16(1), np.uint16(0))
+
+
+def distinct(raw: np.ndarray, left: np.ndarray, right: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal contexts the one of the smallest doc: its index, ascending by hash; and by row, the place in these."""
+    key = mix(mix_bytes(raw) + left.astype(np.uint64) * power(3) + right.astype(np.uint64) * power(5))
+    order = np.lexsort((doc, key))
+    new = np.r_[True, key[order][1:] != key[order][:-1]] if len(order) else np.zeros(0, bool)
+    first, place = order[new], np.empty(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    if all((raw[at : at + SLICE] == raw[first[place[at : at + SLICE]]]).all() for at in range(0, len(raw), SLICE)) and (left == left[first[place]]).all() and (right == right[first[place]]).all():
+        return first, place
+    # hashes collided: by the bytes themselves
+    every = np.concatenate([raw, left[:, None], right[:, None]], axis=1)
+    order = np.argsort(doc, kind="stable")
+    _, at, place_ = np.unique(every[order], axis=0, return_index=True, return_inverse=True)
+    place[order] = place_.ravel()
+    return order[at], place
+
+
+def resolve(raw: np.ndarray, left: np.ndarray, right: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Bit j of a context's mask: its window that begins j bytes before the anchor also occurs in a context of a smaller doc.
 
-    ctx [n, WIDE] codes (byte + 1, 0 beyond the text) with the anchor at LEFT. Suffixes at the anchors are sorted forwards, and
-    what is before them backwards; a window of j bytes before and SPAN - j after is the same in two contexts if they agree to these depths in both orders.
+    raw [n, WIDE] bytes with the anchor at LEFT, of which left before and right after it are there. Equal contexts are compared once: what
+    the first of them has, the later ones have as a whole. The suffixes at the anchors of the others are sorted forwards, and what is
+    before them backwards; a window of j bytes before and SPAN - j after is the same in two contexts if they agree to these depths in both orders.
     """
-    out = np.zeros(len(ctx), np.uint32)
-    gram = np.zeros(len(ctx), np.uint64)
-    for j in range(LEFT, LEFT + GRAM):
-        gram = gram * power(1) + ctx[:, j]
-    order = np.lexsort((doc, gram))
+    first, place = distinct(raw, left, right, doc)
+    own = np.zeros(len(first), np.uint32)
+    gram = mix_bytes(raw[first, LEFT : LEFT + GRAM])
+    order = np.lexsort((doc[first], gram))
     segment = np.cumsum(np.r_[True, np.diff(gram[order]) != 0])[: len(order)]
     cut = np.r_[np.searchsorted(segment, np.arange(1, segment[-1] + 1)), len(order)] if len(order) else [0]
+    # groups of one have nothing to share
+    alone = np.diff(cut) == 1
+    order = order[~alone[segment - 1]] if len(order) else order
+    segment = np.unique(gram[order], return_inverse=True)[1] + 1
+    cut = np.r_[np.searchsorted(segment, np.arange(1, segment[-1] + 1)), len(order)] if len(order) else [0]
     at = 0
     while at < len(cut) - 1:  # whole groups, about SLICE contexts at a time
         to = max(at + 1, int(np.searchsorted(cut, cut[at] + SLICE, "right")) - 1)
-        own = order[cut[at] : cut[to]]
-        out[own] = _resolve(ctx[own], doc[own], segment[cut[at] : cut[to]] - at - 1)
+        k = order[cut[at] : cut[to]]
+        i = first[k]
+        own[k] = _resolve(coded(raw[i], left[i], right[i]), doc[i], segment[cut[at] : cut[to]] - at - 1)
         at = to
-    return out
+    return np.where(doc > doc[first][place], possible(left, right), own[place])
+
+
+def possible(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Mask of the windows that contexts have."""
+    j = np.arange(LEFT + 1)
+    return (((j <= left[:, None]) & (SPAN - j <= right[:, None])) << j).sum(axis=1).astype(np.uint32)
 
 
 def _resolve(ctx: np.ndarray, doc: np.ndarray, segment: np.ndarray) -> np.ndarray:
     left, right = (ctx[:, :LEFT] > 0).sum(axis=1), (ctx[:, LEFT:] > 0).sum(axis=1)
-    j = np.arange(LEFT + 1)
-    valid = (j <= left[:, None]) & (SPAN - j <= right[:, None])
-    full = (valid << j).sum(axis=1).astype(np.uint32)
-    out = np.zeros(len(ctx), np.uint32)
+    out, rows = np.zeros(len(ctx), np.uint32), np.argsort(doc, kind="stable")
     ahead, back = SuffixSort(ctx[:, LEFT:], segment), SuffixSort(np.ascontiguousarray(ctx[:, :LEFT][:, ::-1]), segment)
-    by_doc = np.argsort(doc, kind="stable")
     n = len(ctx) + 1
-    # contexts that an earlier document has as a whole
-    key = ahead.classes(SPAN) * n + back.classes(LEFT)
-    least = np.empty(len(ctx), np.int64)
-    least[by_doc] = first_owners(key[by_doc], doc[by_doc])
-    seen = least < doc
-    out[seen] = full[seen]
-    # the rest are compared window by window, where their group has more than one of them
-    rest = by_doc[~seen[by_doc]]
-    rest = rest[(np.bincount(segment[rest], minlength=int(segment.max()) + 1 if len(segment) else 0) > 1)[segment[rest]]]
     for k in range(LEFT + 1):
-        own = rest[valid[rest, k]]
+        own = rows[(left[rows] >= k) & (right[rows] >= SPAN - k)]
         if len(own) > 1:
             hit = first_owners(ahead.classes(SPAN - k)[own] * n + back.classes(k)[own], doc[own]) < doc[own]
             out[own[hit]] |= np.uint32(1 << k)
@@ -229,9 +252,7 @@ class Chunk:
         for s, e in zip(self.cut[:-1], self.cut[1:], strict=True):
             if data := self.masks.get(int(self.bucket[s])):
                 mask[s:e] = np.frombuffer(data, np.uint32)
-        j = np.arange(LEFT + 1)
-        left, right = self.inside[:, :LEFT].sum(axis=1)[:, None], self.inside[:, LEFT:].sum(axis=1)[:, None]
-        full = (((j <= left) & (SPAN - j <= right)) << j).sum(axis=1).astype(np.uint32)
+        full = possible(self.inside[:, :LEFT].sum(axis=1), self.inside[:, LEFT:].sum(axis=1))
         # the owner has what the mask says; later documents of the chunk have all that the owner has
         mine = np.where(self.of_doc > self.owner[self.of], full[self.of], mask[self.of])
         edge = np.zeros(len(self.sym) + SPAN + 1, np.int32)
@@ -239,7 +260,7 @@ class Chunk:
             w = self.at[(mine >> np.uint32(k)) & np.uint32(1) == 1] - k
             np.add.at(edge, w, 1)
             np.add.at(edge, w + SPAN, -1)
-        return np.cumsum(edge)[: len(self.sym)] > 0
+        return np.cumsum(edge, dtype=np.int32)[: len(self.sym)] > 0
 
 
 def mix_bytes(rows: np.ndarray) -> np.ndarray:
@@ -301,9 +322,7 @@ def _sort(rows_: pa.Table) -> pa.Table:
     raw = np.concatenate([np.frombuffer(r["data"], np.uint8).reshape(-1, WIDE) for r in rows])
     doc = np.concatenate([np.frombuffer(r["more"], np.int64, m) for r, m in zip(rows, n, strict=True)])
     left, right = (np.concatenate([np.frombuffer(r["more"], np.uint8, m, (8 + k) * m) for r, m in zip(rows, n, strict=True)]) for k in (0, 1))
-    col = np.arange(WIDE) - LEFT
-    ctx = np.where((col >= -left.astype(np.int64)[:, None]) & (col < right[:, None]), raw.astype(np.uint16) + np.uint16(1), np.uint16(0))
-    mask, out, at = resolve(ctx, doc), [], 0
+    mask, out, at = resolve(raw, left, right, doc), [], 0
     for r, m in zip(rows, n, strict=True):
         if (own := mask[at : at + m]).any():
             out.append((4, r["chunk"], r["bucket"], own.tobytes(), None))
