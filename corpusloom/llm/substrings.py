@@ -8,9 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
-from .chunks import CHUNK, PACKED, Entries, Plan, anchors, bucket_of, codes, count_bucket, gram_hashes, packed
+from .chunks import BASE, CHUNK, PACKED, Entries, Plan, anchors, bucket_of, codes, count_bucket, gram_hashes, mix, packed
 from .common import table
 
 #: Words of a removed window and of the anchors; words of a reference shard; chunks that share one copy of a reference.
@@ -68,38 +67,68 @@ class SuffixAutomaton:
         return out
 
 
+#: The white space that parts words.
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+TABLE = 1 << 17
+POWERS = np.r_[np.uint64(1), np.cumprod(np.full(TABLE - 1, BASE, np.uint64))]
+INVERSE = np.r_[np.uint64(1), np.cumprod(np.full(TABLE - 1, pow(BASE, -1, 1 << 64), np.uint64))]
+
+
+def word_hashes(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of the words [begin, end) of buf, from differences of prefix sums, block by block."""
+    out, k = np.empty(len(begin), np.uint64), 0
+    while k < len(begin):
+        to = max(k + 1, int(np.searchsorted(end, begin[k] + TABLE // 2, "right")))
+        base, n = int(begin[k]), int(end[to - 1] - begin[k])
+        powers, inverse = (POWERS, INVERSE) if n < TABLE else (np.r_[np.uint64(1), np.cumprod(np.full(n, x, np.uint64))] for x in (BASE, pow(BASE, -1, 1 << 64)))
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((buf[base : base + n].astype(np.uint64) + np.uint64(1)) * powers[:n], out=sums[1:])
+        s, e = begin[k:to] - base, end[k:to] - base
+        out[k:to] = mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64) * np.uint64(0x9E3779B1))
+        k = to
+    return out
+
+
 class Words:
-    """The words of a chunk's documents as one sequence: word (numbers into names), start of each row, and each row's doc."""
+    """The words of a chunk's documents as one sequence: begin and end in raw, hash (sym), start of each row, and each row's doc."""
 
     def __init__(self, docs: pa.Table):
         self.ids = docs["doc_id"].to_pylist()
-        split = [(t.as_py() or "").encode().split() for t in docs["text"]]
-        self.size = np.array([len(w) for w in split], np.int64)
-        flat = [w for s in split for w in s]
-        del split
-        self.names = list(dict.fromkeys(flat))
-        number = dict(zip(self.names, range(len(self.names)), strict=True))
-        self.word = np.fromiter(map(number.__getitem__, flat), np.int32, len(flat))
-        self.start = np.r_[0, np.cumsum(self.size)].astype(np.int64)
+        self.raws = [(t or "").encode() for t in docs["text"].to_pylist()]
+        self.raw = b"\n".join([*self.raws, b""])
+        buf = np.frombuffer(self.raw, np.uint8)
+        inside = np.zeros(len(buf) + 2, bool)
+        np.logical_not(SPACE[buf], out=inside[1:-1])
+        turn = np.flatnonzero(inside[1:] != inside[:-1])
+        self.begin, self.end = turn[::2], turn[1::2]
+        offset = np.r_[0, np.cumsum([len(r) + 1 for r in self.raws])].astype(np.int64)
+        self.start = np.searchsorted(self.begin, offset).astype(np.int64)
+        self.size = np.diff(self.start)
         self.chunk = docs[CHUNK][0].as_py() if len(docs) else 0
-        hashes = np.fromiter(map(xxh64_intdigest, self.names), np.uint64, len(self.names))
-        self.sym = hashes[self.word] if len(flat) else np.zeros(0, np.uint64)
+        self.sym = word_hashes(buf, self.begin, self.end)
         # rows without doc_id take no part
         self.live = np.array([d is not None for d in self.ids], bool)
-        bounds = self.start if self.live.all() else np.unique(np.r_[self.start, np.arange(len(flat))[np.repeat(~self.live, self.size)]])
+        bounds = self.start if self.live.all() else np.unique(np.r_[self.start, np.arange(len(self.sym))[np.repeat(~self.live, self.size)]])
         at, h = anchors(self.sym, bounds, SPAN, GRAM)
         self.entries = Entries(at, h, at)
 
     def text(self, s: int, e: int) -> bytes:
-        return b" ".join([self.names[k] for k in self.word[s:e]])
+        return b" ".join(self.raw[self.begin[s] : self.end[e - 1]].split())
+
+    def kept(self, k: int, gone: np.ndarray) -> bytes:
+        """The words of row k that stay, joined by a blank."""
+        if not gone.any():
+            return b" ".join(self.raws[k].split())
+        edge = np.flatnonzero(np.diff(np.r_[1, gone.view(np.int8), 1]))
+        return b" ".join([self.text(s, e) for s, e in (edge.reshape(-1, 2) + self.start[k]).tolist()])
 
     def windows(self, replies: list[dict], buckets: int) -> None:
         """Windows that hold a repeated anchor: at (their places), and their distinct hashes in order with the first (doc, start) of each."""
         p = self.entries.at[codes(self.entries, [r for r in replies if r["kind"] == 2], buckets)[self.entries.entry] > 0]
-        edge = np.zeros(len(self.word) + 2, np.int32)
+        edge = np.zeros(len(self.sym) + 2, np.int32)
         np.add.at(edge, np.maximum(p - (SPAN - GRAM), 0), 1)
         np.add.at(edge, p + 1, -1)
-        cand = np.cumsum(edge, dtype=np.int32)[: len(self.word)] > 0
+        cand = np.cumsum(edge, dtype=np.int32)[: len(self.sym)] > 0
         for k, (s, e) in enumerate(zip(self.start[:-1].tolist(), self.start[1:].tolist(), strict=True)):
             cand[max(s, e - SPAN + 1) : e] = False
             if not self.live[k]:
@@ -159,11 +188,11 @@ class Words:
         return [(k[s], k[e - 1] + 1) for s, e in zip(at[:-1], at[1:], strict=True)]
 
     def asked(self, replies: list[dict]) -> tuple[list, dict]:
-        """References, and by (shard, salt) the distinct query texts with the places that have them."""
+        """References, and by (shard, salt) the distinct queries, by their words, with the places (begin, end) that have them."""
         refs, queries = self.segments(replies)
         by: dict = {}
         for shard, salt, s, e in queries:
-            by.setdefault((shard, salt), {}).setdefault(self.text(s, e), []).append((s, e))
+            by.setdefault((shard, salt), {}).setdefault(self.sym[s:e].tobytes(), []).append((s, e))
         return refs, by
 
 
@@ -245,32 +274,30 @@ def repeats(docs: DataFrame, **sizes) -> DataFrame:
                 own.setdefault(k, []).append((s, e))
         for k, segs in own.items():
             out.append((5, w.chunk, k, b"\n".join(w.text(s, e) for s, e in segs), None))
-        for (shard, salt), texts in by.items():
-            out.append((6, shard, salt, b"\n".join(texts), np.int64(w.chunk).tobytes()))
+        for (shard, salt), found in by.items():
+            out.append((6, shard, salt, b"\n".join([w.text(*places[0]) for places in found.values()]), np.int64(w.chunk).tobytes()))
         return packed(out)
 
     def cut(docs_: pa.Table, replies: pa.Table) -> pa.Table:
         w, rows = Words(docs_), replies.to_pylist()
         w.windows(rows, buckets)
         _, by = w.asked(rows)
-        edge = np.zeros(len(w.word) + SPAN + 1, np.int32)
+        hits = [np.zeros(0, np.int64)]
         for r in rows:
             if r["kind"] == 7:
-                texts = by[(r["bucket"], int(np.frombuffer(r["more"], np.int64)[0]))]
-                n = sum(t.count(b" ") + 2 - SPAN for t in texts)
-                bits, at = np.unpackbits(np.frombuffer(r["data"], np.uint8), count=n), 0
-                for t, places in texts.items():
-                    m = t.count(b" ") + 2 - SPAN
+                found = by[(r["bucket"], int(np.frombuffer(r["more"], np.int64)[0]))].values()
+                size = [p[0][1] - p[0][0] - SPAN + 1 for p in found]
+                bits, at = np.unpackbits(np.frombuffer(r["data"], np.uint8), count=sum(size)), 0
+                for m, places in zip(size, found, strict=True):
                     hit = np.flatnonzero(bits[at : at + m])
                     at += m
-                    for s, _ in places:
-                        np.add.at(edge, s + hit, 1)
-                        np.add.at(edge, s + hit + SPAN, -1)
-        gone, out = np.cumsum(edge, dtype=np.int32)[: len(w.word)] > 0, []
+                    hits += [hit + s for s, _ in places]
+        hit = np.concatenate(hits)
+        edge = np.bincount(hit, minlength=len(w.sym) + SPAN + 1) - np.bincount(hit + SPAN, minlength=len(w.sym) + SPAN + 1)
+        gone, out = np.cumsum(edge)[: len(w.sym)] > 0, []
         for k, doc in enumerate(w.ids):
-            g, word = gone[w.start[k] : w.start[k + 1]], w.word[w.start[k] : w.start[k + 1]]
-            kept = b" ".join([w.names[i] for i in word[~g]])
-            out.append((doc, len(g), int(g.sum()), hashlib.sha256(kept).hexdigest(), np.packbits(g).tobytes()))
+            g = gone[w.start[k] : w.start[k + 1]]
+            out.append((doc, len(g), int(g.sum()), hashlib.sha256(w.kept(k, g)).hexdigest(), np.packbits(g).tobytes()))
         types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
         return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 5, types, strict=True)], names=[x.split()[0] for x in OUT.split(", ")])
 
