@@ -101,12 +101,8 @@ def tidy(line, rounds: int = 3) -> Column:
     """A display line without a leading dialogue dash and without quotes around the whole, a few layers deep; never empty."""
     out = F.trim(line)
     for _ in range(rounds):
-        dash = F.trim(F.regexp_replace(out, r"^[-–—]\s*(?![-–—])", ""))
-        out = F.when(dash != "", dash).otherwise(out)
-        for a, b in (('"', '"'), ("“", "”"), ("«", "»")):
-            inner = F.trim(F.substring(out, F.lit(2), F.length(out) - 2))
-            whole = out.startswith(a) & out.endswith(b) & (F.length(out) > 2) & ~inner.contains(a) & ~inner.contains(b) & (inner != "")
-            out = F.when(whole, inner).otherwise(out)
+        for layer in (r"^[-–—]\s*(?=[^-–—\s])", r'^"\s*([^"]*[^"\s])\s*"$', r"^“\s*([^“”]*[^“”\s])\s*”$", r"^«\s*([^«»]*[^«»\s])\s*»$"):
+            out = F.regexp_replace(out, layer, "$1" if "(" in layer[3:] and "(?=" not in layer else "")
     return out
 
 
