@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,7 +76,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, key: list[str], broadcast_rows:
             met = winnowed(rows, m).join(F.broadcast(own), "fp").filter(F.col("window") == _window(m)).select(*key, "at", "items")
         else:
             met = winnowed(rows, m).select(*key, "at", "fp").join(own.select("fp").distinct(), "fp", "left_semi").groupBy(*key).agg(F.collect_set("at").alias("starts"))
-            met = rows.join(met, key).select(*key, "w", F.explode("starts").alias("at")).select(*key, "at", _window(m).alias("window")).join(own, "window").select(*key, "at", "items")
+            met = met.withColumnsRenamed({k: f"_{k}_met" for k in key})
+            same = reduce(operator.and_, (F.col(k).eqNullSafe(F.col(f"_{k}_met")) for k in key))
+            met = rows.join(met, same).select(*key, "w", F.explode("starts").alias("at")).select(*key, "at", _window(m).alias("window")).join(own, "window").select(*key, "at", "items")
         met = met.withColumn("size", F.lit(m))
         found = met if found is None else found.unionByName(met)
     if found is None:
