@@ -10,6 +10,7 @@ from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -19,8 +20,10 @@ SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 SPACE = re.compile(r"[ \n\t\r]")
 
-#: Characters of a text handled at once, and words kept in a task's cache.
-PIECE, CACHE_WORDS = 1 << 18, 250_000
+#: Characters of a text handled at once, and words kept in a worker's cache.
+PIECE, CACHE_WORDS = 1 << 18, 400_000
+#: Words of one occurrence index; a few hundred keep it within a processor's cache.
+INDEX_WORDS = 512
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -49,25 +52,26 @@ class Vocabulary:
             a, b = m if isinstance(m, list) else m.split(" ")
             for to, t in ((self.left, a), (self.right, b), (self.made, a + b)):
                 to.append(vocab[t])
+        self.digest = hashlib.sha256(f"{sorted(self.token.items())}{self.made.tobytes()}".encode()).hexdigest()
 
     def ranks(self) -> dict[int, int]:
         return {a << 20 | b: r for r, (a, b) in enumerate(zip(self.left, self.right, strict=True))}
 
 
 class Encoder:
-    """Encodes words in batches; words met before come from a bounded cache."""
+    """Encodes words in batches. Words met before come from a bounded cache of two generations: when the younger is full it becomes the
+    older, from which words that are met again are taken over."""
 
     def __init__(self, vocabulary: Vocabulary, cache_words: int = CACHE_WORDS):
         self.v, self.rank, self.cache_words = vocabulary, vocabulary.ranks(), cache_words
-        self.ids: dict[str, bytes] = {}
-        self.shown: dict[str, bytes] = {}
+        self.token = [t.encode() for _, t in sorted(vocabulary.token.items())] if max(vocabulary.token) + 1 == len(vocabulary.token) else {i: t.encode() for i, t in vocabulary.token.items()}
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None
-        for t, i in vocabulary.special.items():
-            self._keep(t, [i])
+        self.ids: dict[str, bytes] = {t: i.to_bytes(4, "little") for t, i in vocabulary.special.items()}
+        self.old: dict[str, bytes] = {}
 
-    def _keep(self, word: str, ids: list[int]) -> None:
-        self.ids[word] = b"".join(i.to_bytes(4, "little") for i in ids)
-        self.shown[word] = " ".join(map(self.v.token.__getitem__, ids)).encode()
+    def shown(self, ids: bytes) -> bytes:
+        """The token strings of packed ids, joined by blanks: a file without a decoder asks for that."""
+        return b" ".join(map(self.token.__getitem__, memoryview(ids).cast("I").tolist()))
 
     def merge(self, words: list[bytes]) -> list[list[int]]:
         """Token ids of each word. All words stand in one row of symbols; each active pair's rank has the list of its
@@ -80,27 +84,34 @@ class Encoder:
             sym.append(-1)  # between words
         nxt, prv = list(range(1, len(sym) + 1)), list(range(-1, len(sym) - 1))
         at: dict[int, list[int]] = {}
+        get = rank.get
         for p, (a, b) in enumerate(zip(sym, sym[1:], strict=False)):
-            if a >= 0 <= b and (r := rank.get(a << 20 | b)) is not None:
+            if a >= 0 <= b and (r := get(a << 20 | b)) is not None:
                 at.setdefault(r, []).append(p)
         active = list(at)
         heapify(active)
         while active:
             r = heappop(active)
             a, b, m = left[r], right[r], made[r]
+            first = m << 20
             for p in sorted(at.pop(r)):
                 q = nxt[p]
                 if sym[p] != a or sym[q] != b:
                     continue
                 n, l = nxt[q], prv[p]
                 sym[p], sym[q], nxt[p], prv[n] = m, -2, n, p
-                for at_p, x, y in ((p, m, sym[n]), (l, sym[l] if l >= 0 else -1, m)):
-                    if x >= 0 <= y and (s := rank.get(x << 20 | y)) is not None:
-                        if s in at:
-                            at[s].append(at_p)
-                        else:
-                            at[s] = [at_p]
-                            heappush(active, s)
+                if (y := sym[n]) >= 0 and (s := get(first | y)) is not None:
+                    if s in at:
+                        at[s].append(p)
+                    else:
+                        at[s] = [p]
+                        heappush(active, s)
+                if l >= 0 and (x := sym[l]) >= 0 and (s := get(x << 20 | m)) is not None:
+                    if s in at:
+                        at[s].append(l)
+                    else:
+                        at[s] = [l]
+                        heappush(active, s)
         out, word = [], []
         for s in sym:
             if s >= 0:
@@ -123,16 +134,27 @@ class Encoder:
         return SPLIT.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
     def learn(self, words: set[str]) -> None:
-        new = list(words - self.ids.keys())
-        for w, ids in zip(new, self.merge([w.encode() for w in new]), strict=True):
-            self._keep(w, ids)
+        """Make ids of all words known; makes room first."""
+        if len(self.ids) > self.cache_words // 2:
+            self.old, self.ids = self.ids, {t: self.ids[t] for t in self.v.special}
+        missing = words - self.ids.keys()
+        again = missing & self.old.keys()
+        self.ids.update((w, self.old[w]) for w in again)
+        new = list(missing - again)
+        for k in range(0, len(new), INDEX_WORDS):
+            part = new[k : k + INDEX_WORDS]
+            for w, ids in zip(part, self.merge([w.encode() for w in part]), strict=True):
+                self.ids[w] = array("I", ids).tobytes()
 
-    def room(self) -> None:
-        if len(self.ids) > self.cache_words:
-            self.ids.clear()
-            self.shown.clear()
-            for t, i in self.v.special.items():
-                self._keep(t, [i])
+
+#: The encoder that this worker's tasks share.
+_ENCODER: list[Encoder] = []
+
+
+def encoder(vocabulary: Vocabulary) -> Encoder:
+    if not _ENCODER or _ENCODER[0].v.digest != vocabulary.digest:
+        _ENCODER[:] = [Encoder(vocabulary)]
+    return _ENCODER[0]
 
 
 def pieces(text: str, size: int = PIECE) -> Iterator[str]:
@@ -154,47 +176,51 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, with_ids: bool = False) -> D
     """
     schema = SCHEMA + (", ids array<int>, decoded string" if with_ids else "")
 
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def made(rows: list) -> pa.RecordBatch:
+        """rows (doc_id, digest of ids, digest of text, n_tokens, packed ids, decoded parts) of finished texts."""
+        cols = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int64()), *(pa.array([r[k].hexdigest() for r in rows], pa.string()) for k in (1, 2))]
+        if with_ids:
+            offsets = np.r_[0, np.cumsum([r[3] for r in rows])].astype(np.int32)
+            cols.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(x for r in rows for x in r[4]), np.int32))))
+            cols.append(pa.array([b" ".join(r[5]).decode() for r in rows], pa.string()))
+        return pa.RecordBatch.from_arrays(cols, names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(vocabulary)
-        names = [x.split()[0] for x in schema.split(", ")]
-
-        def flush(group):
-            enc.room()
-            enc.learn(set().union(*(w for _, pieces_ in group for w in pieces_)))
-            for doc, parts in group:
-                yield doc, [(b"".join(map(enc.ids.__getitem__, w)), b" ".join(map(enc.shown.__getitem__, w))) for w in parts if w]
-
-        def rows(batch):
-            group, held = [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                state = {"ids": hashlib.sha256(), "out": hashlib.sha256(), "n": 0, "kept": [], "shown": []}
+        enc = encoder(vocabulary)
+        group: list = []  # (state of a text, words of its next piece or None at its end)
+        held = 0
+
+        def settle():
+            enc.learn({w for _, words in group if words for w in words})
+            out = []
+            for state, words in group:
+                if words:
+                    ids = b"".join(map(enc.ids.__getitem__, words))
+                    shown = enc.shown(ids)
+                    state[1].update(ids)
+                    state[2].update(b" " + shown if state[3] else shown)
+                    state[3] += len(ids) // 4
+                    if with_ids:
+                        state[4].append(ids)
+                        state[5].append(shown)
+                elif words is None:
+                    out.append(state)
+            group.clear()
+            return made(out)
+
+        for b in batches:
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                state = [doc, hashlib.sha256(), hashlib.sha256(), 0, [], []]
                 for piece in pieces(text.as_py() or ""):
-                    w = enc.words(piece)
-                    group.append(((doc, state, False), [w]))
+                    group.append((state, enc.words(piece)))
                     held += len(piece)
                     if held > PIECE * 4:
-                        yield from done(group)
-                        group, held = [], 0
-                group.append(((doc, state, True), []))
-            yield from done(group)
-
-        def done(group):
-            for (doc, s, last), parts in flush(group):
-                for ids, shown in parts:
-                    s["ids"].update(ids)
-                    s["out"].update((b" " if s["n"] else b"") + shown)
-                    s["n"] += len(ids) // 4
-                    if with_ids:
-                        s["kept"].append(ids)
-                        s["shown"].append(shown)
-                if last:
-                    more = [memoryview(b"".join(s["kept"])).cast("i").tolist(), b" ".join(s["shown"]).decode()] if with_ids else []
-                    yield [doc, s["n"], s["ids"].hexdigest(), s["out"].hexdigest(), *more]
-
-        for batch in batches:
-            found = list(rows(batch))
-            types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], t) for k, t in zip(range(len(names)), types, strict=False)], names=names)
+                        yield settle()
+                        held = 0
+                group.append((state, None))
+        yield settle()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
