@@ -204,8 +204,10 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = S
     their doc_id among the rows of at most sample_bytes bytes that are not held out."""
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     known = docs.select("doc_id", "lang", "text").filter(~held_out() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") <= sample_bytes))
-    rows = known.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= sample_rows).select("lang", "k", "text").collect()
-    rows.sort(key=lambda r: (r.lang, r.k))
+    # rows are chosen by their ids alone, so no text is shuffled
+    picked = known.select("doc_id", "lang").distinct().withColumn("k", F.row_number().over(order)).filter(F.col("k") <= sample_rows)
+    rows = known.join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "k", "text").collect()
+    rows.sort(key=lambda r: (r.lang, r.k, r.text))
     labels = sorted({r.lang for r in rows})
     words, y = [], []
     for r in rows:

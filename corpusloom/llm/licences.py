@@ -81,7 +81,10 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 5) -> Licen
     temperature and a shift of its score are chosen by likelihood.
     """
     rng, families = np.random.default_rng(seed), list(TEMPLATES)
-    rows = docs.filter(F.octet_length("text") <= SAMPLE_BYTES).select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_rows).collect()
+    short = docs.filter((F.octet_length("text") <= SAMPLE_BYTES) & F.col("doc_id").isNotNull()).select("doc_id", "text")
+    # rows are chosen by their ids alone, so tasks send no text that isn't used
+    picked = short.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    rows = sorted(short.join(F.broadcast(picked), "doc_id").collect(), key=lambda r: (r.doc_id, r.text))
     wordings = [set(ngrams(tokens(t))) for ts in TEMPLATES.values() for t in ts]
     plain = [tokens(x) for x in OTHERS]
     for r in rows:
