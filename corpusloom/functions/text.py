@@ -106,6 +106,14 @@ def tidy(line, rounds: int = 3) -> Column:
     return out
 
 
+def decode_escapes(text) -> Column:
+    """Each \\uXXXX of the basic plane as its character; anything else stays."""
+    parts = F.split(text, r"\\u")
+    shown = lambda p: F.concat(F.decode(F.unhex(F.left(p, F.lit(4))), "UTF-16BE"), F.substring(p, F.lit(5), F.length(p)))
+    rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: F.when(F.regexp_like(p, F.lit("^[0-9a-fA-F]{4}")), shown(p)).otherwise(F.concat(F.lit("\\u"), p)))
+    return F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))
+
+
 def squeeze(cell) -> Column:
     return F.trim(F.regexp_replace(cell, r"(?U)\s+", " "))
 

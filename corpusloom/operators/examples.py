@@ -15,6 +15,15 @@ def tier(line: str = "line", low: int = 4, high: int = 15) -> Column:
     return F.when(n.between(low, high) & plain, 1).when(plain, 2).otherwise(3)
 
 
+def name_shares(lines: DataFrame, known: DataFrame, key: list[str]) -> DataFrame:
+    """(key, line, name_share): capitalised unknown words after the first, over all words of the line."""
+    words = lines.select(*key, "line", F.posexplode_outer(F.array_remove(F.split(F.trim("line"), r"\s+"), "")).alias("_p", "_w"))
+    bare = F.regexp_replace("_w", r"""^[«»"'()\[\]¿?!.,:;–—…-]+|[«»"'()\[\]¿?!.,:;–—…-]+$""", "")
+    rows = words.withColumn("_bare", bare).join(known.select(F.col("tok").alias("_low"), F.lit(True).alias("_known")).distinct(), F.lower("_bare") == F.col("_low"), "left")
+    name = (F.col("_p") > 0) & F.regexp_like("_bare", F.lit(r"^\p{Lu}")) & F.col("_known").isNull()
+    return rows.groupBy(*key, "line").agg((F.count_if(name) / F.greatest(F.count("_w"), F.lit(1))).alias("name_share"))
+
+
 def choose(candidates: DataFrame, key: str, n: int = 20) -> DataFrame:
     """Up to n lines a key from its best tier, the shortest first, a line once."""
     rows = candidates.select(key, "line").distinct().withColumn("tier", tier())

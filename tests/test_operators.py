@@ -3,11 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.functions import text as T
+from corpusloom.operators import backends as B
 from corpusloom.operators import counts as C
 from corpusloom.operators import examples as E
 from corpusloom.operators import filters as FL
 from corpusloom.operators import lemmas as L
 from corpusloom.operators import quality as Q
+from corpusloom.operators import readings as R
 from corpusloom.operators import shares as S
 
 
@@ -132,3 +135,47 @@ def test_glue(spark):
     casing = spark.createDataFrame([("matao", 40, 40, 1.0)], "tok string, cap_count long, noninitial_count long, cap_ratio double")
     got = FL.glue_candidates(counts, spark.createDataFrame([("rodao",)], "tok string"), casing)
     assert [(r.glued, r.stem, r.clitic) for r in got.collect()] == [("conheçoa", "conheço", "a")]
+
+
+def test_readings(spark):
+    tags = spark.createDataFrame([("larga", "largar", "VERB"), ("larga", "largo", "VERB"), ("larga", "largo", "ADJ"), ("mar", "mar", "NOUN"), ("são", "ser", "AUX"), ("vi", "mar", "VERB"), ("ter", "ter", "NOUN")], "tok string, lemma string, upos string")
+    closed = spark.createDataFrame([("ser",)], "lemma string")
+    keep = {(r.tok, r.lemma, r.upos): r.keep for r in R.consistent(tags, closed).collect()}
+    assert keep == {("larga", "largar", "VERB"): True, ("larga", "largo", "VERB"): False, ("larga", "largo", "ADJ"): True, ("mar", "mar", "NOUN"): True, ("são", "ser", "AUX"): False, ("vi", "mar", "VERB"): False, ("ter", "ter", "NOUN"): True}
+    assert {r.tok: r.keep for r in R.consistent(tags, closed, veto=False).collect()}["são"]
+    assert {r.p for r in spark.createDataFrame([("SCONJ", "para"), ("SCONJ", "que"), ("X", "x")], "upos string, lemma string").select(R.pos_of().alias("p")).collect()} == {"prep", "conj", "unk"}
+    pos = R.decided_pos(spark.createDataFrame([("no", "noun", 2), ("no", "prep", 3), ("a", "det", 1)], "lemma string, pos string, raw_freq long"), spark.createDataFrame([("no", "contr")], "lemma string, pos string"))
+    assert rows(pos) == [("a", "det", 1), ("no", "contr", 5)]
+
+
+def test_name_readings(spark):
+    joint = spark.createDataFrame([("são", "ser", "AUX", 45), ("são", "são", "PROPN", 5), ("dado", "dado", "NOUN", 49), ("dado", "dado", "PROPN", 1), ("nova", "nova", "PROPN", 20), ("nova", "novo", "ADJ", 20)], "tok string, lemma string, upos string, votes long")
+    casing = spark.createDataFrame([("são", 20, 1000), ("dado", 5, 100), ("nova", 90, 100)], "tok string, cap_count long, noninitial_count long")
+    assert rows(R.name_cap_ratios(joint, casing)) == [("são", 0.2)]
+
+
+def test_past_forms(spark):
+    cases = [("Foi embora.", "foi", "ir"), ("Foi-se ontem", "foi", "ir"), ("Lá foi ele", "foi", "ir"), ("Quem foi?", "foi", "ser"), ("Fui à minha casa", "fui", "ir"), ("Foi a minha ideia", "foi", "ser"), ("Fomos a Lisboa", "fomos", "ir"), ("Foram comidos", "foram", "ser"), ("Fui comprar pão", "fui", "ir"), ("Foi isso", "foi", "ser"), ("Foi ontem", "foi", "?"), ("Nada", "foi", "?")]
+    df = spark.createDataFrame([(*c, c[0].split()[-2:][0] in ("comprar",) or "comprar" in c[0], "adv") for c in cases], "s string, f string, want string, next_known boolean, next_pos string")
+    assert [(r.s, r.got) for r in df.coalesce(1).select("s", R.past_form_class("s", "f").alias("got")).collect()] == [(c[0], c[2]) for c in cases]
+    assert df.filter("f = 'fui'").select(R.next_word("s", "f").alias("w")).collect()[1].w == "comprar"
+    assert R.may_apply({"accuracy": 0.96, "rule_digest": R.rule_digest(1)}, R.rule_digest(1)) and not R.may_apply({"accuracy": 0.96, "rule_digest": "x"}, R.rule_digest(1))
+
+
+def test_backends(spark):
+    words = spark.createDataFrame([("falo",), ("xis",)], "tok string")
+    lines = spark.createDataFrame([("falo", "eu falo"), ("falo", "falo eu"), ("xis", "um xis")], "tok string, line string")
+    known = spark.createDataFrame([("falar",)], "tok string")
+    model = B.ModelSource(lambda: lambda pairs: ["falar" if w == "falo" else "xiar" for w, _ in pairs])
+    table = B.TableSource(spark.createDataFrame([("xis", "x")], "tok string, lemma string"))
+    assert rows(model(words, lines)) == [("falo", "falar"), ("xis", "xiar")]
+    assert rows(B.GatedSource(model, table, known)(words, lines)) == [("falo", "falar"), ("xis", "x")]
+    assert rows(B.VoteSource({"a": model, "b": table, "c": table})(words, lines)) == [("falo", "falo"), ("xis", "x")]
+
+
+def test_names_and_escapes(spark):
+    lines = spark.createDataFrame([(1, "Vi o John e a Mary."), (2, "Casa"), (3, "")], "k long, line string")
+    known = spark.createDataFrame([("mary",)], "tok string")
+    assert rows(E.name_shares(lines, known, ["k"]).select("k", "name_share")) == [(1, 1 / 6), (2, 0.0), (3, 0.0)]
+    got = spark.createDataFrame([("a\\u00e3o \\u00zz x",), ("plain",)], "t string").coalesce(1).select(T.decode_escapes(F.col("t"))).collect()
+    assert [r[0] for r in got] == ["aão \\u00zz x", "plain"]
