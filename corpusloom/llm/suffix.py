@@ -390,3 +390,26 @@ def remove(docs: DataFrame, **sizes) -> DataFrame:
 
 def op3_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return spans(table(spark, sf_dir, "documents")).drop("text_hash", "spans")
+
+
+#: The same with windows as hex texts, as DuckDB reads it.
+SQL = r"""
+with d as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), w as (
+  select doc_id, p, substr(h, 2 * p + 1, 100) as win from (select doc_id, h, unnest(range(0, len(h) // 2 - 49)) as p from d where len(h) >= 100)
+), hit as (
+  select doc_id, p from (select doc_id, p, min(doc_id) over (partition by win) as first from w) where doc_id > first
+), marked as (
+  select doc_id, p, (p - coalesce(lag(p) over (partition by doc_id order by p), -51) > 50)::int as new from hit
+), runs as (
+  select doc_id, min(p) as a, max(p) + 50 as b from (select doc_id, p, sum(new) over (partition by doc_id order by p) as run from marked) group by doc_id, run
+), gaps as (
+  select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) as s, a as e from runs
+  union all select d.doc_id, coalesce(max(b), 0), any_value(len(h)) // 2 from d left join runs on runs.doc_id = d.doc_id group by d.doc_id
+), kept as (
+  select g.doc_id, string_agg(substr(h, 2 * s + 1, 2 * (e - s)), '' order by s) as k from gaps g join d on d.doc_id = g.doc_id group by g.doc_id
+)
+select d.doc_id, len(h) // 2 as n_bytes, coalesce(n, 0)::bigint as n_removed, coalesce(c, 0)::bigint as n_spans, sha256(unhex(k)) as kept_sha256
+from d join kept on kept.doc_id = d.doc_id left join (select doc_id, sum(b - a) as n, count(*) as c from runs group by doc_id) r on r.doc_id = d.doc_id
+"""
