@@ -97,12 +97,16 @@ def strip_diacritics(word) -> Column:
     return F.translate(word, MARKED, UNMARKED)
 
 
+# What is taken off a display line, layer by layer: a dialogue dash, and quotes around the whole.
+LAYERS = (r"^[-–—]\s*([^-–—\s])", r'^"\s*([^"]*[^"\s])\s*"$', r"^“\s*([^“”]*[^“”\s])\s*”$", r"^«\s*([^«»]*[^«»\s])\s*»$")
+
+
 def tidy(line, rounds: int = 3) -> Column:
     """A display line without a leading dialogue dash and without quotes around the whole, a few layers deep; never empty."""
     out = F.trim(line)
     for _ in range(rounds):
-        for layer in (r"^[-–—]\s*(?=[^-–—\s])", r'^"\s*([^"]*[^"\s])\s*"$', r"^“\s*([^“”]*[^“”\s])\s*”$", r"^«\s*([^«»]*[^«»\s])\s*»$"):
-            out = F.regexp_replace(out, layer, "$1" if "(" in layer[3:] and "(?=" not in layer else "")
+        for layer in LAYERS:
+            out = F.regexp_replace(out, layer, "$1")
     return out
 
 

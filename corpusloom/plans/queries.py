@@ -686,6 +686,10 @@ def tidy_lines(spark, d):
 
 
 QUERIES["tidy_lines"] = tidy_lines
+_tidied = "trim(line)"
+for _layer in T.LAYERS * 3:
+    _tidied = f"regexp_replace({_tidied}, '{_layer}', '\\1')"
+SQL["tidy_lines"] = f"with {BASE} select doc_id, line_no, {_tidied} as line from lines"
 
 
 @query("select sum(length(text))::bigint as input_tokens, sum(turn)::bigint as output_tokens, round(sum(length(text)) * 3 / 1e6 + sum(turn) * 15 / 1e6, 6) as cost from conversations")
