@@ -74,15 +74,20 @@ def conventions(lemmas: DataFrame, known: DataFrame, contractions: list[str] = (
     return rows.select("tok", "lemma", F.when(F.col("new_lemma") != lemma, F.col("_r.rule")).alias("rule"), "new_lemma")
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df with its lineage cut in the shared checkpoint folder; a temporary one only where none is set, as in tests."""
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
+    return df.checkpoint()
+
+
 def closure(redirects: DataFrame, rounds: int = 5) -> DataFrame:
     """(src, dst, final) of redirects (src, dst), a function: where each chain ends; on a cycle, at the smallest word of the whole path walked.
 
     Pointer doubling: a round joins the relation with itself, so 2^rounds steps are followed; lineage is cut in the shared folder.
     """
-    spark = redirects.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
-    redirects = redirects.filter("src != dst")
+    redirects = settled(redirects.filter("src != dst"))
     # at: where 2^k steps lead; least: the smallest word met on the way
     step = redirects.select("src", F.col("dst").alias("at"), F.least("src", "dst").alias("least"))
     for _ in range(rounds):

@@ -67,7 +67,7 @@ def token_counts(inputs: Inputs, cfg: Config) -> DataFrame:
 
 
 def build(inputs: Inputs, cfg: Config) -> Build:
-    counts = token_counts(inputs, cfg)
+    counts = L.settled(token_counts(inputs, cfg))
     totals = C.totals(inputs.lines, counts)
     primary = inputs.context_lemmas if inputs.context_lemmas is not None else inputs.type_lemmas
     lemmas = L.tiered(counts, L.dictionary_gate(primary, inputs.type_lemmas, inputs.known), inputs.type_lemmas, cfg["lemmatizer"]["primary_tier"])
@@ -75,11 +75,12 @@ def build(inputs: Inputs, cfg: Config) -> Build:
         lemmas = L.overridden(lemmas, inputs.overrides, inputs.known)
     if cfg.stage == 2:
         lemmas = L.conventions(lemmas, inputs.known, relemmatized=inputs.type_lemmas).select("tok", F.col("new_lemma").alias("lemma"))
+    lemmas = L.settled(lemmas)
     shares = None
     if inputs.tags is not None and cfg.fix("split_ambiguous"):
         votes = S.lemma_votes(S.joint_votes(inputs.tags)).join(counts.select("tok", F.col("count").alias("total")), "tok")
         shares = S.apportion(votes, ["tok"], "lemma").select("tok", "lemma", "share")
-    by_lemma = L.lemma_counts(counts, lemmas, shares)
+    by_lemma = L.settled(L.lemma_counts(counts, lemmas, shares))
     redirects = by_lemma.select(F.col("lemma").alias("src"), F.col("lemma").alias("dst"), F.col("lemma").alias("final")).limit(0)
     if cfg.fix("lemma_closure"):
         own = by_lemma.select("lemma")
@@ -89,6 +90,7 @@ def build(inputs: Inputs, cfg: Config) -> Build:
             step = step.union(plural.join(step.select("src"), "src", "left_anti"))
         redirects = L.closure(step)
         by_lemma = by_lemma.join(redirects.select(F.col("src").alias("lemma"), "final"), "lemma", "left").groupBy(F.coalesce("final", "lemma").alias("lemma")).agg(F.sum("count").alias("count"))
+    by_lemma = L.settled(by_lemma)
     folds = L.diacritic_folds(by_lemma, inputs.known if cfg.fix("accent_folding") else None, cfg["fixes"]["fold_ratio"])
     if cfg.fix("diacritic_folding"):
         by_lemma = L.folded(by_lemma, folds)
@@ -97,7 +99,7 @@ def build(inputs: Inputs, cfg: Config) -> Build:
     rows = by_lemma.join(C.casing(inputs.lines).select(F.col("tok").alias("lemma"), "cap_ratio"), "lemma", "left").join(inputs.known.select(F.col("tok").alias("lemma"), F.lit(True).alias("known")).distinct(), "lemma", "left")
     rows = rows.join(inputs.decisions, "lemma", "left") if inputs.decisions is not None else rows.withColumn("decision", F.lit(None).cast("string"))
     rows = rows.select("lemma", "count", F.coalesce("cap_ratio", F.lit(0.0)).alias("cap_ratio"), F.coalesce("known", F.lit(False)).alias("known"), F.col("lemma").isin(*listed).alias("excluded") if listed else F.lit(False).alias("excluded"), F.lit(False).alias("foreign"), "decision")
-    judged = FL.cascade(rows, tuple(filters["interjections"]), filters["cap_ratio"])
+    judged = L.settled(FL.cascade(rows, tuple(filters["interjections"]), filters["cap_ratio"]))
     kept, dropped = judged.filter("reason is null").select("lemma", "count"), judged.filter("reason is not null").select("lemma", "count", "cap_ratio", "reason")
     if inputs.tags is not None:
         readings = inputs.tags.groupBy("lemma", F.lower("upos").alias("pos")).agg(F.count("*").alias("votes"))
@@ -112,6 +114,7 @@ def build(inputs: Inputs, cfg: Config) -> Build:
     every = pos.select("lemma", F.lit(False).alias("is_mwe"), "pos", F.col("raw_freq").alias("count")).unionByName(mwes.select(F.col("mwe").alias("lemma"), F.lit(True).alias("is_mwe"), F.lit("mwe").alias("pos"), F.col("raw_freq").alias("count")))
     top = C.per_million(C.ranked(every, cfg["output"]["limit"], ("lemma", "pos")), totals)
     entries = top.select("rank", "lemma", "is_mwe", "pos", F.col("count").alias("raw_freq"), "freq_per_million")
+    entries = L.settled(entries)
     words = entries.filter("not is_mwe").groupBy("lemma").agg(F.min("rank").alias("rank"))
     suspects = Q.suspects([Q.suspect_diacritics(words), Q.suspect_inflections(words), Q.suspect_lemmas(words, lemmas)])
     return Build(counts, totals, lemmas, by_lemma, redirects, folds, dropped, pos, mwes, entries, suspects)
