@@ -6,7 +6,8 @@ import zlib
 import numpy as np
 import xxhash
 
-from corpusloom.llm import components, embeddings, sharding, simhash
+import corpus_pipeline
+from corpusloom.llm import components, embeddings, near_copies, sharding, simhash
 
 DOCS = "doc_id long, text string"
 
@@ -130,3 +131,54 @@ def test_labels_move_under_quotas(spark):
     members = spark.createDataFrame([(1, 0, 10), (1, 1, 4), (2, 1, 3), (2, 2, 2)], "g long, s int, n long")
     load = spark.createDataFrame([(0, 10), (1, 7), (2, 2)], "s int, n long")
     assert dict(sharding.propagate(members, load, 3, 100).collect()) == {1: 0, 2: 1}
+
+
+def five_word_sets(rows):
+    words = {i: t.lower().split() for i, t in rows}
+    return {i: {" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in words.items()}
+
+
+def test_pipeline_stage_finds_near_copies(spark):
+    """Pairs of Jaccard 0.8 over five words differ in more than op10's three bits; those below it stay."""
+    rng = random.Random(11)
+    words, rows = [f"w{i}" for i in range(2000)], []
+    for n in (12, 60, 250, 400):
+        for _ in range(30):
+            base = rng.choices(words, k=n)
+            for changes in (0, 1, 2, n // 60, n // 20):
+                text = list(base)
+                for at in rng.sample(range(n), changes):
+                    text[at] = rng.choice(words)
+                rows.append((len(rows), " ".join(text)))
+    hub = rng.choices(words, k=90)
+    rows += [(len(rows) + k, " ".join(["new%d" % k, *hub])) for k in range(150)]
+    sets, near = five_word_sets(rows), []
+    for a in sets:
+        near += [(a, b) for b in range(a + 1, len(rows)) if (n := len(sets[a] & sets[b])) and n >= 0.8 * (len(sets[a]) + len(sets[b]) - n)]
+    label = components_of(sets, near)
+    want = {i for i in sets if label[i] == i}
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()}
+    assert got >= want and len(got - want) <= 0.01 * (len(rows) - len(want))
+    assert {r.doc_id for r in simhash.keep_first(docs).collect()} - want  # op10's setting leaves some of them
+
+    odd = [(None, "a b"), (1, None), (2, " "), (3, "A b"), (4, "a B"), (5, "x"), (5, "a b c d e f g"), (6, "a b c d e f g"), (None, None)]
+    assert sorted((r.doc_id or 0, r.text or "") for r in corpus_pipeline.near_copies(spark, spark.createDataFrame(odd, DOCS), "").collect()) == sorted([(0, "a b"), (1, ""), (3, "A b"), (5, "x"), (5, "a b c d e f g"), (0, "")])
+    assert corpus_pipeline.near_copies(spark, spark.createDataFrame([], DOCS), "").count() == 0
+
+
+def test_near_copies_of_many_chunks():
+    """Chunks of one group, joined with one another, give the components of the whole group."""
+    rng = random.Random(12)
+    base = rng.choices([f"w{i}" for i in range(500)], k=200)
+    texts = [" ".join(base[:k] + ["x%d" % k] + base[k + 1 :]) for k in range(0, 200, 4)] + [" ".join(rng.choices(base, k=200)) for _ in range(10)]
+    sets = [near_copies.shingles(t) for t in texts]
+    rows = [near_copies.sketch(s).tobytes() + s.tobytes() for s in sets]
+    for join, data in ((near_copies._verify, rows), (near_copies._propose, [r[:16] for r in rows])):
+        links = list(zip(*(x.tolist() for x in join(data, [0], [60])), strict=True))
+        assert components_of(range(60), links) == {i: 0 if i < 50 else i for i in range(60)}
+        parts = []
+        for s, e in ((0, 20), (20, 60)):
+            parts += list(zip(*((x + s).tolist() for x in join(data[s:e], [0], [e - s])), strict=True))
+        parts += list(zip(*(x.tolist() for x in join(data, [0], [20], [20], [60])), strict=True))
+        assert components_of(range(60), parts) == {i: 0 if i < 50 else i for i in range(60)}
