@@ -109,14 +109,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **bounds) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **bounds) -> DataFrame:
-    """docs, all columns as they are, without the rows in which a window of WINDOW words of a benchmark item occurs.
+    """docs, all columns as they are, without the rows that have a window of WINDOW words of a benchmark item, a whole item of
+    GRAM words or more, or ITEMS items of any length.
 
-    Items of fewer words are left out here: one of a single common word would take most documents with it.
+    All items are searched for, but one shorter item alone leaves a row: one of a single common word would take most rows with it.
     """
     key = ["_doc", "_hash"]
     rows = docs.select(F.col("doc_id").alias(key[0]), F.xxhash64("text").alias(key[1]), "text").filter("text is not null")
-    items = benchmark.filter(F.size(words(F.col("text"))) >= WINDOW)
-    gone = hits(rows, items, key, **bounds).select(*key)
+    found = hits(rows, benchmark, key, **bounds)
+    gone = found.filter(F.exists("spans", lambda s: s["size"] >= GRAM) | (F.size("items") >= ITEMS)).select(*key)
     return docs.join(gone, (F.col("doc_id").eqNullSafe(F.col(key[0]))) & (F.xxhash64("text") == F.col(key[1])), "left_anti")
 
 

@@ -99,6 +99,15 @@ def test_no_leaks(spark):
     assert sorted(r.doc_id for r in decontaminate.clean(more, items).collect()) == [1, 3]
 
 
+def test_clean_searches_for_short_items(spark):
+    items = spark.createDataFrame([(1, "Who wrote Os Lusiadas?"), (2, "the"), (3, "red deer"), (4, "one two three four five six seven eight nine")], "item_id long, text string")
+    docs = [(1, "the cat"), (2, "Asked: who wrote os Lusiadas"), (3, "the red deer"), (4, "red deer"), (5, "wrote os lusiadas"), (6, "two three four five six seven eight nine"), (7, "one two three four five six seven")]
+    got = decontaminate.clean(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert sorted(r.doc_id for r in got) == [1, 4, 5, 7]
+    shuffled = decontaminate.clean(spark.createDataFrame(docs, "doc_id long, text string"), items, broadcast_rows=0).collect()
+    assert sorted(r.doc_id for r in shuffled) == [1, 4, 5, 7]
+
+
 def test_pipeline(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
