@@ -15,14 +15,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage of df with files in the shared folder of spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, or the one set on the context; a missing one is an error, for executors would not see a local folder."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found and spark.sparkContext.master.startswith("local"):
+        found = tempfile.mkdtemp(prefix="corpusloom-")  # one machine, as in tests
+        spark.sparkContext.setCheckpointDir(found)
+    if not found:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return found
+
 
-    Only where that setting is absent (local tests) a temporary folder is used.
-    """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage of df with files in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -31,6 +37,14 @@ def ascii_lower(text):
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """name, or a longer one that none of columns has in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_bytes(docs: DataFrame) -> int:
     """UTF-8 bytes of all texts together."""
     return docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
