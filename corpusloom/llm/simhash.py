@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
+from .buckets import block_pairs, forest
 from .common import checkpoint, table
 from .components import connected_components
 
@@ -53,21 +54,6 @@ def fingerprints(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataF
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
 
 
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links (node, smallest node of its component) among n nodes for links a-b; nodes that are the smallest are left out."""
-    label = np.arange(n)
-    while len(a):
-        x, y = label[a], label[b]
-        if not (keep := x != y).any():
-            break
-        a, b, x, y = a[keep], b[keep], x[keep], y[keep]
-        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
-        while not np.array_equal(nxt := label[label], label):
-            label = nxt
-    node = np.flatnonzero(label != np.arange(n))
-    return node, label[node]
-
-
 def trie_join(fp: np.ndarray, lo, hi, lo2=None, hi2=None, budget: int = BUDGET) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links (indexes into fp) of all pairs within budget differing bits.
 
@@ -198,9 +184,7 @@ def near_links(classes: DataFrame, budget: int = BUDGET) -> DataFrame:
     # the sign is turned so that signed order is the order of the unsigned values
     rows = classes.select(F.explode(F.array(*keys)).alias("g"), F.col("fp").bitwiseXOR(F.lit(-(1 << 63))).alias("fp"), F.col("node").alias("id"))
     found = checkpoint(rows.repartitionByRange("g", "fp").sortWithinPartitions("g", "fp").mapInArrow(_within, OUT))
-    chunks = found.filter("g is not null").select(*NAMES[2:])
-    a, b = chunks, chunks.select("g", *(F.col(c).alias(f"{c}2") for c in NAMES[3:]))
-    pairs = a.join(b, "g").filter("(part < part2 or part = part2 and seq < seq2)").filter(f"bit_count((low ^ low2) & (mask & mask2)) <= {budget}")
+    pairs = block_pairs(found.filter("g is not null").select(*NAMES[2:]), f"bit_count((low ^ low2) & (mask & mask2)) <= {budget}", ("low", "mask"))
     return found.filter("u is not null").select("u", "v").union(pairs.select("fps", "ids", "fps2", "ids2").mapInArrow(_across, "u long, v long"))
 
 
@@ -209,16 +193,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     component_id is the smallest doc_id reachable over links. Rows that share a doc_id are one document, and equal
     fingerprints are one class before anything is paired, so copies cost one row of an aggregate each. Null and empty
-    texts have the fingerprint 0. An empty table gives no rows; other columns are ignored.
+    texts have the fingerprint 0. A row without doc_id links nothing and has no component_id. An empty table gives no rows; other columns are ignored.
     """
     fps = checkpoint(fingerprints(docs))
-    classes = checkpoint(fps.groupBy("fp").agg(F.min("doc_id").alias("node")))
+    known = fps.filter("doc_id is not null")
+    classes = checkpoint(known.groupBy("fp").agg(F.min("doc_id").alias("node")))
     # a doc_id in several rows links its classes too
-    same = fps.groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count("*").alias("n")).filter("n > 1 and a != b").select("doc_id")
-    again = fps.join(same, "doc_id", "left_semi").join(classes, "fp").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
+    same = known.groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count("*").alias("n")).filter("n > 1 and a != b").select("doc_id")
+    again = known.join(same, "doc_id", "left_semi").join(classes, "fp").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
     comp = connected_components(near_links(classes).union(again))
     named = classes.join(comp, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return known.join(named, "fp").select("doc_id", "fp", "component_id").union(fps.filter("doc_id is null").select("doc_id", "fp", F.lit(None).cast("long")))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
