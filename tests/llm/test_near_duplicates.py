@@ -2,12 +2,13 @@
 
 import random
 import zlib
+from functools import partial
 
 import numpy as np
 import xxhash
 
 import corpus_pipeline
-from corpusloom.llm import components, embeddings, near_copies, sharding, simhash
+from corpusloom.llm import buckets, components, embeddings, near_copies, sharding, simhash
 
 DOCS = "doc_id long, text string"
 
@@ -48,6 +49,43 @@ def test_fingerprints_and_groups(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_rows_without_id(spark):
+    """They link nothing, whether they share a class with others or form one of their own."""
+    rows = [(None, "alone here with words"), (None, None), (3, "one two three four"), (None, "one two three four"), (4, "One two three four"), (None, "alone here with words")]
+    got = sorted(((r.doc_id or 0, r.component_id or 0) for r in simhash.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()))
+    assert got == [(0, 0)] * 4 + [(3, 3), (4, 3)]
+    assert sorted(r.text or "" for r in simhash.keep_first(spark.createDataFrame(rows, DOCS)).collect()) == ["", "alone here with words", "alone here with words", "one two three four", "one two three four"]
+    vec = [(None, [1.0, 2.0], 1), (1, [1.0, 2.0], 1), (2, [2.0, 4.0], 1), (None, [9.0, -1.0], 1), (2, [-1.0, 5.0], 1), (5, [-1.0, 5.0], 1)]
+    got = sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in embeddings.near_vectors(spark.createDataFrame(vec, "vec_id long, embedding array<double>, label int")).collect())
+    assert got == [(0, 0, 0, True), (0, 0, 0, True), (1, 1, 1, True), (2, 1, 1, False), (2, 1, 2, True), (5, 1, 2, False)]
+    assert embeddings.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_very_long_text_and_clashing_columns(spark):
+    long = "word " * 200_000
+    rows = [(1, long, 7, "a"), (2, long + "x", 8, "b"), (None, long, 9, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp long, component_id string")
+    assert {r.doc_id: r.fp for r in simhash.near_duplicates(docs.filter("doc_id is not null")).collect()} == {i: (lambda v: v - (1 << 64) if v >> 63 else v)(brute_fingerprint(t)) for i, t, *_ in rows[:2]}
+    kept = near_copies.keep_first(docs)
+    assert kept.columns == docs.columns and sorted((r.doc_id or 0, r.component_id) for r in kept.collect()) == [(0, "c"), (1, "a")] + [(2, "b")] * (kept.count() == 3)
+
+
+def test_recall_by_band_of_cosine(spark):
+    """Planted pairs of 0.93 to 0.99: at least 0.95 of each band is found, and nothing below the threshold."""
+    rng, rows, want = np.random.default_rng(6), [], {}
+    unit = lambda x: x / np.linalg.norm(x)
+    for k, c in enumerate(np.repeat([0.925, 0.932, 0.945, 0.96, 0.985], 200)):
+        a = unit(rng.standard_normal(64))
+        o = rng.standard_normal(64)
+        b = c * a + np.sqrt(1 - c * c) * unit(o - (o @ a) * a)
+        rows += [(2 * k, a.tolist(), k % 3), (2 * k + 1, b.tolist(), k % 3)]
+        want[2 * k] = c
+    got = {r.vec_id: r.n_links for r in embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    for c in sorted(set(want.values())):
+        share = np.mean([got[i] for i, x in want.items() if x == c])
+        assert share == 0 if c < 0.93 else share >= 0.95, (c, share)
+
+
 def test_trie_join_of_many_chunks(spark, monkeypatch):
     rng = np.random.default_rng(2)
     centre = rng.integers(0, 1 << 63)
@@ -174,11 +212,12 @@ def test_near_copies_of_many_chunks():
     texts = [" ".join(base[:k] + ["x%d" % k] + base[k + 1 :]) for k in range(0, 200, 4)] + [" ".join(rng.choices(base, k=200)) for _ in range(10)]
     sets = [near_copies.shingles(t) for t in texts]
     rows = [near_copies.sketch(s).tobytes() + s.tobytes() for s in sets]
-    for join, data in ((near_copies._verify, rows), (near_copies._propose, [r[:16] for r in rows])):
-        links = list(zip(*(x.tolist() for x in join(data, [0], [60])), strict=True))
+    g = np.zeros(60, np.int64)
+    for join, data in ((near_copies.same_sets, rows), (partial(buckets.near_bits, near_copies.FEW), [r[:16] for r in rows])):
+        links = list(zip(*(x.tolist() for x in join(g, data, [0], [60])[:2]), strict=True))
         assert components_of(range(60), links) == {i: 0 if i < 50 else i for i in range(60)}
         parts = []
         for s, e in ((0, 20), (20, 60)):
-            parts += list(zip(*((x + s).tolist() for x in join(data[s:e], [0], [e - s])), strict=True))
-        parts += list(zip(*(x.tolist() for x in join(data, [0], [20], [20], [60])), strict=True))
+            parts += list(zip(*((x + s).tolist() for x in join(g, data[s:e], [0], [e - s])[:2]), strict=True))
+        parts += list(zip(*(x.tolist() for x in join(g, data, [0], [20], [20], [60])[:2]), strict=True))
         assert components_of(range(60), parts) == {i: 0 if i < 50 else i for i in range(60)}
