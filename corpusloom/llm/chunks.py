@@ -5,19 +5,26 @@ smallest k-gram hash. Such k-grams, the anchors, are chosen by content alone, so
 Documents are dealt to chunks by doc_id; a chunk sends each bucket its distinct anchor hashes packed into one row, and
 gets back as many codes. As the entries are ordered by hash, codes need no key. Chunks and buckets grow in number with the input and stay
 the same in size; where a chunk has few anchors for each of very many buckets, rows are simply short.
+
+An anchor that all chunks have is an entry a chunk. So chunks are dealt to parts: a bucket is first met part by part, where equal entries
+become one, and then as a whole; neither meeting has more than about the square root of the chunks.
 """
 
 from __future__ import annotations
 
+from math import isqrt
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes
+from .common import text_bytes, unused
 
-#: Name of the column that tells a document's chunk.
+#: Name of the column that tells a document's chunk, unless the documents have one of that name.
 CHUNK = "_chunk"
+#: Chunks of a part, at least.
+FAN = 16
 #: Bytes of text a chunk and a bucket stand for, on average; symbols hashed at once.
 CHUNK_BYTES, BUCKET_BYTES, BLOCK = 2 << 20, 4 << 20, 1 << 16
 MIX1, MIX2, BASE = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15
@@ -94,6 +101,11 @@ class Plan:
     def __init__(self, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES):
         total = text_bytes(docs)
         self.chunks, self.buckets = max(1, -(-total // chunk_bytes)), max(1, -(-total // bucket_bytes))
+        self.parts = max(1, -(-self.chunks // max(FAN, isqrt(self.chunks))))
+        self.name = unused(CHUNK, docs.columns)
+
+    def part(self, chunk: int) -> int:
+        return chunk % self.parts
 
     def chunk(self) -> Column:
         """The chunk of a doc_id; rows of one doc_id share it."""
@@ -101,7 +113,7 @@ class Plan:
 
     def chunked(self, docs: DataFrame) -> DataFrame:
         """docs with their chunk as the first column, dealt by it."""
-        return docs.select(self.chunk().alias(CHUNK), "*").repartition(CHUNK)
+        return docs.select(self.chunk().alias(self.name), "*").repartition(self.name)
 
 
 #: Rows that go between chunks and buckets: data is packed arrays whose meaning depends on kind.
@@ -123,37 +135,68 @@ class Entries:
         other = owner != owner[first][self.entry]
         self.multi = np.bincount(self.entry, weights=other, minlength=len(self.hash)) > 0
 
-    def ask(self, chunk: int, buckets: int) -> list[tuple]:
-        """Rows for the buckets: six bytes an entry, the lowest bit tells a repeat within the chunk."""
-        b = bucket_of(self.hash, buckets).astype(np.int64)
+    def ask(self, chunk: int, plan: Plan) -> list[tuple]:
+        """Rows for the buckets, of the kind of the chunk's part: six bytes an entry, the lowest bit tells a repeat within the chunk."""
+        b = bucket_of(self.hash, plan.buckets).astype(np.int64)
         cut = np.flatnonzero(np.r_[True, b[1:] != b[:-1], True]) if len(b) else [0]
         six = ((self.hash << np.uint64(1)) | self.multi.astype(np.uint64)).view(np.uint8).reshape(-1, 8)[:, :6]
-        return [(1, chunk, int(b[s]), six[s:e].tobytes(), None) for s, e in zip(cut[:-1], cut[1:], strict=True)]
+        return [(plan.part(chunk), chunk, int(b[s]), six[s:e].tobytes(), None) for s, e in zip(cut[:-1], cut[1:], strict=True)]
 
 
-def count_bucket(table: pa.Table, hot: int) -> pa.Table:
-    """Codes for the entries that chunks asked about: 0 found nowhere else, 1 repeated, 2 in more than hot chunks."""
-    rows = table.to_pylist()
-    raw = [np.frombuffer(r["data"], np.uint8).reshape(-1, 6) for r in rows]
-    n = [len(x) for x in raw]
-    h = np.zeros((sum(n), 8), np.uint8)
-    h[:, :6] = np.concatenate(raw)
+def _six(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and flags of packed entries of six bytes."""
+    raw = np.frombuffer(b"".join(data), np.uint8).reshape(-1, 6)
+    h = np.zeros((len(raw), 8), np.uint8)
+    h[:, :6] = raw
     h = h.view(np.uint64).ravel()
-    key = h >> np.uint64(1)
-    order = np.argsort(key)
-    first = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
-    size = np.diff(np.r_[first, len(order)])
-    multi = np.maximum.reduceat((h & np.uint64(1))[order], first) > 0
-    code = np.zeros(len(h), np.uint8)
-    code[order] = np.repeat(np.where(size > hot, 2, np.where((size > 1) | multi, 1, 0)).astype(np.uint8), size)
-    out, at = [], 0
-    for r, m in zip(rows, n, strict=True):
-        c = code[at : at + m]
+    return h >> np.uint64(1), (h & np.uint64(1)).astype(np.int64)
+
+
+def _merged(table: pa.Table) -> pa.Table:
+    """The entries of a part's chunks in one bucket: each once, with its flag and in how many chunks it is."""
+    key, multi = _six(table["data"].to_pylist())
+    own, of = np.unique(key, return_inverse=True)
+    n, some = np.bincount(of, minlength=len(own)), np.bincount(of, weights=multi, minlength=len(own)) > 0
+    six = ((own << np.uint64(1)) | some.astype(np.uint64)).view(np.uint8).reshape(-1, 8)[:, :6]
+    return packed([(table["kind"][0].as_py(), 0, table["bucket"][0].as_py(), six.tobytes(), n.astype(np.int32).tobytes())])
+
+
+def _counted(table: pa.Table, hot: int) -> pa.Table:
+    """Codes for the entries of each part of a bucket: 0 found nowhere else, 1 repeated, 2 in more than hot chunks."""
+    rows = table.to_pylist()
+    key, multi = _six([r["data"] for r in rows])
+    n = np.concatenate([np.frombuffer(r["more"], np.int32) for r in rows])
+    own, of = np.unique(key, return_inverse=True)
+    size, some = np.bincount(of, weights=n, minlength=len(own)), np.bincount(of, weights=multi, minlength=len(own)) > 0
+    code, out, at = np.where(size > hot, 2, np.where((size > 1) | some, 1, 0)).astype(np.uint8)[of], [], 0
+    for r in rows:
+        m = len(r["data"]) // 6
+        out.append((r["kind"], 0, r["bucket"], code[at : at + m].tobytes(), None))
+        at += m
+    return packed(out)
+
+
+def _told(asks: pa.Table, codes_: pa.Table) -> pa.Table:
+    """The codes of a part's entries (of kind 2) for each of its chunks."""
+    rows, out = asks.to_pylist(), []
+    if not rows:
+        return packed([])
+    code = np.frombuffer(codes_["data"][0].as_py(), np.uint8)
+    of, at = np.unique(_six([r["data"] for r in rows])[0], return_inverse=True)[1], 0
+    for r in rows:
+        m = len(r["data"]) // 6
+        c = code[of[at : at + m]]
         out.append((2, r["chunk"], r["bucket"], np.packbits(c > 0).tobytes(), np.packbits(c > 1).tobytes() if (c > 1).any() else None))
         at += m
     return packed(out)
 
 
+def counts(asks: DataFrame, hot: int) -> DataFrame:
+    """Codes for the entries that chunks asked about, for the chunks."""
+    top = asks.groupBy("bucket", "kind").applyInArrow(_merged, PACKED).groupBy("bucket").applyInArrow(lambda t: _counted(t, hot), PACKED)
+    return asks.groupBy("bucket", "kind").cogroup(top.groupBy("bucket", "kind")).applyInArrow(_told, PACKED)
+
+
 def codes(entries: Entries, replies: list[dict], buckets: int) -> np.ndarray:
     """The code of every entry from a chunk's replies (kind 2)."""
     out = np.zeros(len(entries.hash), np.uint8)

@@ -9,28 +9,43 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import BASE, CHUNK, PACKED, Entries, Plan, anchors, bucket_of, codes, count_bucket, gram_hashes, mix, packed
+from .chunks import BASE, PACKED, Entries, Plan, bucket_of, codes, counts, gram_hashes, mix, packed
 from .common import table
 
-#: Words of a removed window and of the anchors; words of a reference shard; chunks that share one copy of a reference.
-SPAN, GRAM, SHARD_WORDS, SHARE = 20, 10, 60_000, 2
+#: Words of a removed window and of the anchors; words of the references of one automaton.
+SPAN, GRAM, SHARD_WORDS = 20, 8, 60_000
 OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string, removed binary"
 
 
 class SuffixAutomaton:
-    """All substrings of rows of words; rows are kept apart by symbols of their own."""
+    """All substrings of the rows of words added so far."""
 
-    def __init__(self, rows: list[list[bytes]]):
+    def __init__(self):
         self.next: list[dict] = [{}]
-        self.link, self.length, self.last = [-1], [0], 0
-        for k, row in enumerate(rows):
-            for w in row:
-                self._add(w)
-            self._add(k)
-
-    def _add(self, w) -> None:
+        self.link, self.length = [-1], [0]
+
+    def add(self, row: list[bytes]) -> None:
+        p = 0
+        for w in row:
+            p = self._step(p, w)
+
+    def _copy(self, p: int, q: int, w) -> int:
+        """A state for the shorter substrings of q, which p reaches by w."""
+        nxt, c = self.next, len(self.next)
+        nxt.append(nxt[q].copy())
+        self.length.append(self.length[p] + 1)
+        self.link.append(self.link[q])
+        self.link[q] = c
+        while p >= 0 and nxt[p].get(w) == q:
+            nxt[p][w] = c
+            p = self.link[p]
+        return c
+
+    def _step(self, last: int, w) -> int:
         nxt, link, length = self.next, self.link, self.length
-        cur, p = len(nxt), self.last
+        if (q := nxt[last].get(w)) is not None:  # known from an earlier row
+            return q if length[last] + 1 == length[q] else self._copy(last, q, w)
+        cur, p = len(nxt), last
         nxt.append({})
         length.append(length[p] + 1)
         link.append(0)
@@ -39,18 +54,8 @@ class SuffixAutomaton:
             p = link[p]
         if p >= 0:
             q = nxt[p][w]
-            if length[p] + 1 == length[q]:
-                link[cur] = q
-            else:
-                c = len(nxt)
-                nxt.append(nxt[q].copy())
-                length.append(length[p] + 1)
-                link.append(link[q])
-                while p >= 0 and nxt[p].get(w) == q:
-                    nxt[p][w] = c
-                    p = link[p]
-                link[q] = link[cur] = c
-        self.last = cur
+            link[cur] = q if length[p] + 1 == length[q] else self._copy(p, q, w)
+        return cur
 
     def matches(self, words: list[bytes]) -> list[int]:
         """Matching statistics: by position, the length of the longest run of words that ends there and is in the automaton."""
@@ -66,6 +71,39 @@ class SuffixAutomaton:
             out.append(l)
         return out
 
+    def windows(self, words: list[bytes]) -> np.ndarray:
+        """Whether each window of SPAN words is in the automaton."""
+        return np.array(self.matches(words)[SPAN - 1 :]) >= SPAN
+
+
+def stream(rows: list[list[bytes]], key: list[tuple], more: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray | None]]:
+    """For rows in the order of their keys: which windows a row with a smaller key has; and, where more, which the row's own reference has.
+
+    Each row is streamed through the automaton of the rows before it and then becomes a reference itself, unless all of it is known. At SHARD_WORDS an automaton
+    is full: the rest of the rows pass through it before the next one is begun.
+    """
+    found, own = [np.zeros(len(r) - SPAN + 1, bool) for r in rows], [None] * len(rows)
+    at = 0
+    while at < len(rows):
+        automaton, words = SuffixAutomaton(), 0
+        while at < len(rows) and words < SHARD_WORDS:
+            end = at + 1
+            while end < len(rows) and key[end] == key[at]:
+                end += 1
+            for i in range(at, end):
+                found[i] |= automaton.windows(rows[i])
+            for i in range(at, end):
+                if not found[i].all():
+                    automaton.add(rows[i])
+                    words += len(rows[i])
+            for i in range(at, end):
+                if more[i]:
+                    own[i] = found[i] | automaton.windows(rows[i])
+            at = end
+        for i in range(at, len(rows)):
+            found[i] |= automaton.windows(rows[i])
+    return found, own
+
 
 #: The white space that parts words.
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -89,10 +127,23 @@ def word_hashes(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
     return out
 
 
+def leftmost(g: np.ndarray, w: int) -> np.ndarray:
+    """The place of the smallest of every w neighbours, the first one of equals."""
+    at, n = np.arange(len(g)), 1
+    least = lambda x, y: np.where(g[y] < g[x], y, x)
+    while n * 2 <= w:
+        at, n = least(at[: len(at) - n], at[n:]), n * 2
+    return least(at[: len(at) - (w - n)], at[w - n :]) if w > n else at
+
+
 class Words:
-    """The words of a chunk's documents as one sequence: begin and end in raw, hash (sym), start of each row, and each row's doc."""
+    """The words of a chunk's documents as one sequence: begin and end in raw, hash (sym), start of each row, and each row's doc.
+
+    Every window belongs to the first of its smallest k-grams, its anchor. Windows side by side with one anchor are a run, of lo to hi; as the anchor depends on a window's
+    words alone, equal windows have anchors of equal hash at equal distance, so places of anchors order them as places of windows do.
+    """
 
-    def __init__(self, docs: pa.Table):
+    def __init__(self, docs: pa.Table, name: str):
         self.ids = docs["doc_id"].to_pylist()
         self.raws = [(t or "").encode() for t in docs["text"].to_pylist()]
         self.raw = b"\n".join([*self.raws, b""])
@@ -104,13 +155,21 @@ class Words:
         offset = np.r_[0, np.cumsum([len(r) + 1 for r in self.raws])].astype(np.int64)
         self.start = np.searchsorted(self.begin, offset).astype(np.int64)
         self.size = np.diff(self.start)
-        self.chunk = docs[CHUNK][0].as_py() if len(docs) else 0
-        self.sym = word_hashes(buf, self.begin, self.end)
-        # rows without doc_id take no part
-        self.live = np.array([d is not None for d in self.ids], bool)
-        bounds = self.start if self.live.all() else np.unique(np.r_[self.start, np.arange(len(self.sym))[np.repeat(~self.live, self.size)]])
-        at, h = anchors(self.sym, bounds, SPAN, GRAM)
-        self.entries = Entries(at, h, at)
+        self.chunk = docs[name][0].as_py() if len(docs) else 0
+        sym = word_hashes(buf, self.begin, self.end)
+        fits = np.zeros(len(sym), bool)
+        for k, (s, e) in enumerate(zip(self.start[:-1].tolist(), self.start[1:].tolist(), strict=True)):
+            if self.ids[k] is not None:  # rows without doc_id take no part
+                fits[s : max(s, e - SPAN + 1)] = True
+        at = np.flatnonzero(fits)
+        g = gram_hashes(sym, GRAM) if len(at) else sym
+        own = leftmost(g, SPAN - GRAM + 1)[at] if len(at) else at
+        new = np.r_[True, (np.diff(at) != 1) | (np.diff(own) != 0)][: len(at)]
+        self.lo, self.hi = at[new], at[np.r_[new[1:], True][: len(at)]]
+        row = np.searchsorted(self.start, self.lo, "right") - 1
+        self.doc = np.array([d if d is not None else -1 for d in self.ids], np.int64)[row]
+        self.place, self.hash = own[new] - self.start[row], g[own[new]] if len(at) else np.zeros(0, np.uint64)
+        self.entries = Entries(self.lo, self.hash, self.lo)
 
     def text(self, s: int, e: int) -> bytes:
         return b" ".join(self.raw[self.begin[s] : self.end[e - 1]].split())
@@ -122,196 +181,132 @@ class Words:
         edge = np.flatnonzero(np.diff(np.r_[1, gone.view(np.int8), 1]))
         return b" ".join([self.text(s, e) for s, e in (edge.reshape(-1, 2) + self.start[k]).tolist()])
 
-    def windows(self, replies: list[dict], buckets: int) -> None:
-        """Windows that hold a repeated anchor: at (their places), and their distinct hashes in order with the first (doc, start) of each."""
-        p = self.entries.at[codes(self.entries, [r for r in replies if r["kind"] == 2], buckets)[self.entries.entry] > 0]
-        edge = np.zeros(len(self.sym) + 2, np.int32)
-        np.add.at(edge, np.maximum(p - (SPAN - GRAM), 0), 1)
-        np.add.at(edge, p + 1, -1)
-        cand = np.cumsum(edge, dtype=np.int32)[: len(self.sym)] > 0
-        for k, (s, e) in enumerate(zip(self.start[:-1].tolist(), self.start[1:].tolist(), strict=True)):
-            cand[max(s, e - SPAN + 1) : e] = False
-            if not self.live[k]:
-                cand[s:e] = False
-        self.at = np.flatnonzero(cand)
-        if not len(self.at):
-            self.hash = np.zeros(0, np.uint64)
-            self.row = self.of = self.first = self.doc = self.rel = np.zeros(0, np.int64)
-            return
-        h = gram_hashes(self.sym, SPAN)[self.at]
-        self.row = np.searchsorted(self.start, self.at, "right") - 1
-        self.doc = np.array([d if d is not None else -1 for d in self.ids], np.int64)[self.row]
-        self.rel = self.at - self.start[self.row]
-        order = np.lexsort((self.rel, self.doc, h))
-        new = np.r_[True, np.diff(h[order]) != 0]
-        self.of = np.empty(len(h), np.int64)
-        self.of[order] = np.cumsum(new) - 1
-        self.first, self.hash = order[new], h[order][new]
-        self.bucket = bucket_of(self.hash, buckets).astype(np.int64)
-
-    def parts(self):
-        """(bucket, begin, end) of the hashes of each bucket."""
-        if len(self.hash):
-            cut = np.flatnonzero(np.r_[True, np.diff(self.bucket) != 0, True])
-            yield from zip(self.bucket[cut[:-1]].tolist(), cut[:-1].tolist(), cut[1:].tolist(), strict=True)
-
-    def segments(self, replies: list[dict]) -> tuple[list, list]:
-        """References (salts, begin, end) and queries (shard, salt, begin, end), in words; the latter are windows that also start earlier."""
-        shard, count = np.full(len(self.hash), -1, np.int64), np.zeros(len(self.hash), np.int64)
-        by = {r["bucket"]: r for r in replies if r["kind"] == 4}
-        for b, s, e in self.parts():
-            if b in by:
-                shard[s:e], count[s:e] = np.frombuffer(by[b]["data"], np.int32), np.frombuffer(by[b]["more"], np.int32)
-        if not len(self.hash):
-            return [], []
-        own, n = shard[self.of], count[self.of]
-        mine = (self.doc == self.doc[self.first][self.of]) & (self.rel == self.rel[self.first][self.of])
-        repeated = np.bincount(self.of, weights=~mine, minlength=len(self.hash))[self.of] > 0
-        # the first of all windows of its words has shard -2 where others hold it
-        is_first = mine & ((own == -2) | ((own == -1) & repeated))
-        later = ~mine | (own >= 0)
-        source = np.where(own >= 0, own, self.chunk)
-        salts = np.maximum(1, n // SHARE)
-        salt = self.chunk % salts
-        refs = [(int(salts[s]), int(self.at[s]), int(self.at[e - 1]) + SPAN) for s, e in self._runs(is_first, salts)]
-        queries = [(int(source[s]), int(salt[s]), int(self.at[s]), int(self.at[e - 1]) + SPAN) for s, e in self._runs(later, source, salt)]
-        return refs, queries
-
-    def _runs(self, pick: np.ndarray, *same: np.ndarray):
-        k = np.flatnonzero(pick)
-        if not len(k):
-            return []
-        cut = (np.diff(self.at[k]) != 1) | (np.diff(self.row[k]) != 0)
-        for x in same:
-            cut |= np.diff(x[k]) != 0
-        at = np.flatnonzero(np.r_[True, cut, True])
-        return [(k[s], k[e - 1] + 1) for s, e in zip(at[:-1], at[1:], strict=True)]
-
-    def asked(self, replies: list[dict]) -> tuple[list, dict]:
-        """References, and by (shard, salt) the distinct queries, by their words, with the places (begin, end) that have them."""
-        refs, queries = self.segments(replies)
-        by: dict = {}
-        for shard, salt, s, e in queries:
-            by.setdefault((shard, salt), {}).setdefault(self.sym[s:e].tobytes(), []).append((s, e))
-        return refs, by
-
-
-def _first_windows(rows_: pa.Table) -> pa.Table:
-    """For each window hash of a bucket: -2 to the chunk with the first window, its chunk to the others, and how many chunks have it."""
+    def segments(self, replies: list[dict], buckets: int) -> dict[int, list[tuple[bytes, list[int]]]]:
+        """By bucket, the distinct words of the runs whose anchor repeats, each with its runs in the order of their places."""
+        pick = np.flatnonzero(codes(self.entries, [r for r in replies if r["kind"] == 2], buckets)[self.entries.entry] > 0)
+        pick = pick[np.lexsort((self.place[pick], self.doc[pick], self.hash[pick]))]
+        found: dict[bytes, list[int]] = {}
+        for i in pick.tolist():
+            found.setdefault(self.text(self.lo[i], self.hi[i] + SPAN), []).append(i)
+        by: dict[int, list[tuple[bytes, list[int]]]] = {}
+        for words, runs in found.items():
+            by.setdefault(int(bucket_of(self.hash[runs[0]], buckets)), []).append((words, runs))
+        return by
+
+
+def _shards(rows: list[list[bytes]], doc: np.ndarray, place: np.ndarray, anchor: np.ndarray, more: np.ndarray):
+    """stream over shards of whole anchors."""
+    order = np.lexsort((place, doc, anchor))
+    found, own = [None] * len(rows), [None] * len(rows)
+    at = 0
+    while at < len(order):
+        end, words = at, 0
+        while end < len(order) and (words < SHARD_WORDS or anchor[order[end]] == anchor[order[end - 1]]):
+            words += len(rows[order[end]])
+            end += 1
+        k = order[at:end].tolist()
+        for i, f, o in zip(k, *stream([rows[i] for i in k], [(doc[i], place[i]) for i in k], more[k]), strict=True):
+            found[i], own[i] = f, o
+        at = end
+    return found, own
+
+
+def _bits(parts: list) -> bytes:
+    return np.packbits(np.concatenate(parts)).tobytes() if parts else b""
+
+
+def _in_part(rows_: pa.Table) -> pa.Table:
+    """A bucket's segments from the chunks of one part: which of their windows start earlier in the part (7); what has others goes on (9)."""
     rows = rows_.to_pylist()
-    n = [len(r["data"]) // 8 for r in rows]
-    h = np.concatenate([np.frombuffer(r["data"], np.uint64) for r in rows])
-    doc = np.concatenate([np.frombuffer(r["more"], np.int64, m) for r, m in zip(rows, n, strict=True)])
-    rel = np.concatenate([np.frombuffer(r["more"], np.int32, m, 8 * m) for r, m in zip(rows, n, strict=True)])
-    chunk = np.repeat([r["chunk"] for r in rows], n)
-    order = np.lexsort((rel, doc, h))
-    first = np.flatnonzero(np.r_[True, np.diff(h[order]) != 0])
-    size = np.diff(np.r_[first, len(order)])
-    shard, count = np.full(len(h), -1, np.int32), np.zeros(len(h), np.int32)
-    count[order] = np.repeat(size, size)
-    owner = np.repeat(chunk[order][first], size)
-    owner[first] = -2
-    owner[np.repeat(size, size) < 2] = -1
-    shard[order] = owner
-    out, at = [], 0
+    n = [len(r["more"]) // 25 for r in rows]
+    segs = [seg.split(b" ") for r in rows for seg in r["data"].split(b"\n")]
+    doc, place, anchor = (np.concatenate([np.frombuffer(r["more"], t, m, 8 * k * m) for r, m in zip(rows, n, strict=True)]) for k, t in enumerate((np.int64, np.int64, np.uint64)))
+    more = np.concatenate([np.frombuffer(r["more"], np.uint8, m, 24 * m) for r, m in zip(rows, n, strict=True)])
+    found, own = _shards(segs, doc, place, anchor, more)
+    out, at, on = [], 0, []
     for r, m in zip(rows, n, strict=True):
-        out.append((4, r["chunk"], r["bucket"], shard[at : at + m].tobytes(), count[at : at + m].tobytes()))
+        out.append((7, r["chunk"], r["bucket"], _bits(found[at : at + m]), _bits([o for o in own[at : at + m] if o is not None])))
+        on += [(at + i, r["chunk"], i) for i in range(m) if not found[at + i].all()]
         at += m
+    if on:
+        k = [i for i, _, _ in on]
+        head = [doc[k], place[k], anchor[k].view(np.int64), np.array([c for _, c, _ in on]), np.array([i for _, _, i in on])]
+        out.append((9, rows[0]["kind"], rows[0]["bucket"], b"\n".join(b" ".join(segs[i]) for i in k), b"".join(x.astype(np.int64).tobytes() for x in head)))
     return packed(out)
 
 
-def _stream(rows_: pa.Table) -> pa.Table:
-    """Queries of a shard through the automata of its references: which of their windows are there."""
+def _over_parts(rows_: pa.Table) -> pa.Table:
+    """What each part of a bucket has first: which of its windows start earlier in another part (8)."""
     rows = rows_.to_pylist()
-    refs = [seg.split(b" ") for r in rows if r["kind"] == 5 for seg in r["data"].split(b"\n")]
-    queries = [(r, [seg.split(b" ") for seg in r["data"].split(b"\n")]) for r in rows if r["kind"] == 6]
-    found = [[np.zeros(len(q) - SPAN + 1, bool) for q in qs] for _, qs in queries]
-    part: list = []
-    held = 0
-    for k, ref in enumerate([*refs, None]):
-        if part and (ref is None or held + len(ref) > SHARD_WORDS):
-            automaton = SuffixAutomaton(part)
-            for (_, qs), fs in zip(queries, found, strict=True):
-                for q, f in zip(qs, fs, strict=True):
-                    f |= np.array(automaton.matches(q)[SPAN - 1 :]) >= SPAN
-            part, held = [], 0
-        if ref is not None:
-            for s in range(0, max(1, len(ref) - SPAN + 1), SHARD_WORDS):
-                piece = ref[s : s + SHARD_WORDS + SPAN - 1]
-                part.append(piece)
-                held += len(piece)
-    out = []
-    for (r, _), fs in zip(queries, found, strict=True):
-        origin = int(np.frombuffer(r["more"], np.int64)[0])
-        out.append((7, origin, r["chunk"], np.packbits(np.concatenate(fs)).tobytes(), np.int64(r["bucket"]).tobytes()))
+    segs = [seg.split(b" ") for r in rows for seg in r["data"].split(b"\n")]
+    doc, place, anchor, chunk, index = np.concatenate([np.frombuffer(r["more"], np.int64).reshape(5, -1) for r in rows], axis=1)
+    found, _ = _shards(segs, doc, place, anchor.view(np.uint64), np.zeros(len(segs), bool))
+    out, by = [], {}
+    for i, c in enumerate(chunk.tolist()):
+        if found[i].any():
+            by.setdefault(c, []).append(i)
+    for c, k in by.items():
+        out.append((8, c, rows[0]["bucket"], _bits([found[i] for i in k]), index[k].tobytes()))
     return packed(out)
 
 
 def repeats(docs: DataFrame, **sizes) -> DataFrame:
     """For every row of docs (doc_id, text): doc_id, n_words, n_removed, kept_sha256 and removed (a bit by word).
 
-    A word goes if a window of SPAN words that covers it also starts earlier: in a smaller doc_id or before in the same one. Where
-    a window starts first is found by hash and names the shard to ask; the shard's automata, built over the words themselves, decide. Null texts
-    have no words; rows of one doc_id are copies at the same places, none earlier; rows without doc_id lose and remove nothing; an empty table gives no
-    rows; other columns are ignored. A reference that many chunks ask is copied for every SHARE of them.
+    A word goes if a window of SPAN words that covers it also starts earlier: in a smaller doc_id or before in the same one. Hashes only choose
+    where windows that may be equal meet: segments of documents go to the shards of their anchors, are streamed through the suffix automaton of the shard's references, and the matching
+    statistics decide. Null texts have no words; rows of one doc_id are copies at the same places, none earlier; rows without doc_id lose and remove
+    nothing; an empty table gives no rows; other columns are ignored. Equal segments of one chunk are sent once.
     """
-    plan = Plan(docs, **sizes)
+    plan = Plan(docs.select("doc_id", "text"), **sizes)
     chunked, buckets = plan.chunked(docs.select("doc_id", "text")), plan.buckets
 
-    def send(docs_: pa.Table, replies: pa.Table) -> pa.Table:
-        w = Words(docs_)
-        w.windows(replies.to_pylist(), buckets)
-        f = w.first
-        return packed([(3, w.chunk, b, w.hash[s:e].tobytes(), w.doc[f[s:e]].tobytes() + w.rel[f[s:e]].astype(np.int32).tobytes()) for b, s, e in w.parts()])
+    def first(docs_: pa.Table) -> pa.Table:
+        w = Words(docs_, plan.name)
+        return packed(w.entries.ask(w.chunk, plan))
 
     def ask(docs_: pa.Table, replies: pa.Table) -> pa.Table:
-        w, rows = Words(docs_), replies.to_pylist()
-        w.windows(rows, buckets)
-        refs, by = w.asked(rows)
-        out, own = [], {}
-        for salts, s, e in refs:
-            for k in range(salts):
-                own.setdefault(k, []).append((s, e))
-        for k, segs in own.items():
-            out.append((5, w.chunk, k, b"\n".join(w.text(s, e) for s, e in segs), None))
-        for (shard, salt), found in by.items():
-            out.append((6, shard, salt, b"\n".join([w.text(*places[0]) for places in found.values()]), np.int64(w.chunk).tobytes()))
+        w, out = Words(docs_, plan.name), []
+        for b, segs in w.segments(replies.to_pylist(), buckets).items():
+            i = [runs[0] for _, runs in segs]
+            more = w.doc[i].tobytes() + w.place[i].astype(np.int64).tobytes() + w.hash[i].tobytes() + bytes(len(runs) > 1 for _, runs in segs)
+            out.append((plan.part(w.chunk), w.chunk, b, b"\n".join(x for x, _ in segs), more))
         return packed(out)
 
     def cut(docs_: pa.Table, replies: pa.Table) -> pa.Table:
-        w, rows = Words(docs_), replies.to_pylist()
-        w.windows(rows, buckets)
-        _, by = w.asked(rows)
-        hits = [np.zeros(0, np.int64)]
-        for r in rows:
-            if r["kind"] == 7:
-                found = by[(r["bucket"], int(np.frombuffer(r["more"], np.int64)[0]))].values()
-                size = [p[0][1] - p[0][0] - SPAN + 1 for p in found]
-                bits, at = np.unpackbits(np.frombuffer(r["data"], np.uint8), count=sum(size)), 0
-                for m, places in zip(size, found, strict=True):
-                    hit = np.flatnonzero(bits[at : at + m])
-                    at += m
-                    hits += [hit + s for s, _ in places]
-        hit = np.concatenate(hits)
-        edge = np.bincount(hit, minlength=len(w.sym) + SPAN + 1) - np.bincount(hit + SPAN, minlength=len(w.sym) + SPAN + 1)
-        gone, out = np.cumsum(edge)[: len(w.sym)] > 0, []
+        w, rows = Words(docs_, plan.name), replies.to_pylist()
+        edge = np.zeros(w.start[-1] + SPAN + 1, np.int64)
+        by = {(r["kind"], r["bucket"]): r for r in rows if r["kind"] > 2}
+        for b, segs in w.segments(rows, buckets).items():
+            r = by[7, b]
+            size = np.array([w.hi[runs[0]] - w.lo[runs[0]] + 1 for _, runs in segs])
+            found = np.split(np.unpackbits(np.frombuffer(r["data"], np.uint8), count=size.sum()), np.cumsum(size)[:-1])
+            several = [k for k, (_, runs) in enumerate(segs) if len(runs) > 1]
+            own = dict(zip(several, np.split(np.unpackbits(np.frombuffer(r["more"], np.uint8), count=size[several].sum()), np.cumsum(size[several])[:-1]), strict=True)) if several else {}
+            if r := by.get((8, b)):
+                k = np.frombuffer(r["more"], np.int64)
+                for i, f in zip(k.tolist(), np.split(np.unpackbits(np.frombuffer(r["data"], np.uint8), count=size[k].sum()), np.cumsum(size[k])[:-1]), strict=True):
+                    found[i] = found[i] | f
+            for k, (_, runs) in enumerate(segs):
+                for i in runs:
+                    same = w.doc[i] == w.doc[runs[0]] and w.place[i] == w.place[runs[0]]
+                    hit = w.lo[i] + np.flatnonzero(found[k] if same else own[k])
+                    edge[hit] += 1
+                    edge[hit + SPAN] -= 1
+        gone, out = np.cumsum(edge)[: w.start[-1]] > 0, []
         for k, doc in enumerate(w.ids):
             g = gone[w.start[k] : w.start[k + 1]]
             out.append((doc, len(g), int(g.sum()), hashlib.sha256(w.kept(k, g)).hexdigest(), np.packbits(g).tobytes()))
         types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
         return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 5, types, strict=True)], names=[x.split()[0] for x in OUT.split(", ")])
 
-    def first(docs_: pa.Table) -> pa.Table:
-        w = Words(docs_)
-        return packed(w.entries.ask(w.chunk, buckets))
-
     def meet(replies: DataFrame, f, schema: str) -> DataFrame:
-        return chunked.groupBy(CHUNK).cogroup(replies.groupBy("chunk")).applyInArrow(f, schema)
+        return chunked.groupBy(plan.name).cogroup(replies.groupBy("chunk")).applyInArrow(f, schema)
 
-    counted = chunked.groupBy(CHUNK).applyInArrow(first, PACKED).groupBy("bucket").applyInArrow(lambda t: count_bucket(t, 1 << 40), PACKED)
-    sources = meet(counted, send, PACKED).groupBy("bucket").applyInArrow(_first_windows, PACKED)
-    answers = meet(counted.union(sources), ask, PACKED).groupBy("chunk", "bucket").applyInArrow(_stream, PACKED)
-    return meet(counted.union(sources).union(answers), cut, OUT)
+    counted = counts(chunked.groupBy(plan.name).applyInArrow(first, PACKED), 1 << 40)
+    met = meet(counted, ask, PACKED).groupBy("bucket", "kind").applyInArrow(_in_part, PACKED)
+    over = met.filter("kind = 9").groupBy("bucket").applyInArrow(_over_parts, PACKED)
+    return meet(counted.union(met.filter("kind = 7")).union(over), cut, OUT)
 
 
 def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:

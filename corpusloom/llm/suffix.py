@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import CHUNK, PACKED, Entries, Plan, anchors, bucket_of, codes, count_bucket, mix, packed, power
+from .chunks import PACKED, Entries, Plan, anchors, bucket_of, codes, counts, mix, packed, power
 from .common import table
 
 #: Bytes of a removed string, of the anchors, and what a context has before and after an anchor's start.
@@ -193,13 +193,14 @@ def _resolve(ctx: np.ndarray, doc: np.ndarray, segment: np.ndarray) -> np.ndarra
 class Chunk:
     """The documents of a chunk that are not whole copies, as one sequence of bytes, with their anchors."""
 
-    def __init__(self, docs: pa.Table, replies: pa.Table):
+    def __init__(self, docs: pa.Table, replies: pa.Table, name: str):
         rows = replies.to_pylist()
         copies = {r["bucket"] for r in rows if r["kind"] == 0}
         self.replies = [r for r in rows if r["kind"] == 2]
         self.masks = {r["bucket"]: r["data"] for r in rows if r["kind"] == 4}
+        self.over = {r["bucket"]: r for r in rows if r["kind"] == 5}
         self.ids, self.texts = docs["doc_id"].to_pylist(), [(t or "").encode() for t in docs["text"].to_pylist()]
-        self.id = docs[CHUNK][0].as_py() if len(docs) else 0
+        self.id = docs[name][0].as_py() if len(docs) else 0
         self.copy = [d in copies for d in self.ids]
         own = [k for k, c in enumerate(self.copy) if not c and self.ids[k] is not None]
         self.own = own
@@ -236,10 +237,16 @@ class Chunk:
         self.at, self.of_doc = at, doc
         gram = mix_bytes(ctx[:, LEFT : LEFT + GRAM])
         body = mix_bytes(ctx)
-        body = mix(body * np.uint64(3) + inside.sum(axis=1).astype(np.uint64) * power(7) + (at - begin).clip(0, LEFT + 1).astype(np.uint64))
+        body = mix(body * np.uint64(3) + inside.sum(axis=1).astype(np.uint64) * power(7) + (at - begin).clip(0, LEFT).astype(np.uint64))
         b = bucket_of(np.where(whole, body, gram), buckets).astype(np.int64)
         order = np.lexsort((doc, body, gram, b))
         new = np.r_[True, (body[order][1:] != body[order][:-1]) | (gram[order][1:] != gram[order][:-1])] if len(order) else np.zeros(0, bool)
+        rep = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+        if not ((ctx[order] == ctx[rep]).all() and (inside[order] == inside[rep]).all()):
+            # hashes collided: by the bytes themselves
+            body = np.unique(np.concatenate([ctx, inside.view(np.uint8)], axis=1), axis=0, return_inverse=True)[1].ravel()
+            order = np.lexsort((doc, body, gram, b))
+            new = np.r_[True, (body[order][1:] != body[order][:-1]) | (gram[order][1:] != gram[order][:-1]) | (b[order][1:] != b[order][:-1])]
         first = order[new]
         self.of = np.empty(len(at), np.int64)
         self.of[order] = np.cumsum(new) - 1
@@ -252,6 +259,8 @@ class Chunk:
         for s, e in zip(self.cut[:-1], self.cut[1:], strict=True):
             if data := self.masks.get(int(self.bucket[s])):
                 mask[s:e] = np.frombuffer(data, np.uint32)
+            if more := self.over.get(int(self.bucket[s])):
+                mask[s + np.frombuffer(more["more"], np.int64)] |= np.frombuffer(more["data"], np.uint32)
         full = possible(self.inside[:, :LEFT].sum(axis=1), self.inside[:, LEFT:].sum(axis=1))
         # the owner has what the mask says; later documents of the chunk have all that the owner has
         mine = np.where(self.of_doc > self.owner[self.of], full[self.of], mask[self.of])
@@ -283,20 +292,20 @@ def _dedup(docs: DataFrame, finish, schema, hot: int = HOT, **sizes) -> DataFram
     copies = once.join(firsts, "h").filter("doc_id > first").select(F.lit(0).alias("kind"), plan.chunk().alias("chunk"), F.col("doc_id").alias("bucket"), none.alias("data"), none.alias("more"))
 
     def ask(docs_: pa.Table, replies: pa.Table) -> pa.Table:
-        c = Chunk(docs_, replies)
-        return packed(c.entries.ask(c.id, buckets))
+        c = Chunk(docs_, replies, plan.name)
+        return packed(c.entries.ask(c.id, plan))
 
     def send(docs_: pa.Table, replies: pa.Table) -> pa.Table:
-        c = Chunk(docs_, replies)
+        c = Chunk(docs_, replies, plan.name)
         c.contexts(buckets)
         out = []
         for s, e in zip(c.cut[:-1], c.cut[1:], strict=True):
             left, right = c.inside[s:e, :LEFT].sum(axis=1).astype(np.uint8), c.inside[s:e, LEFT:].sum(axis=1).astype(np.uint8)
-            out.append((3, c.id, int(c.bucket[s]), c.ctx[s:e].tobytes(), c.owner[s:e].tobytes() + left.tobytes() + right.tobytes()))
+            out.append((plan.part(c.id), c.id, int(c.bucket[s]), c.ctx[s:e].tobytes(), c.owner[s:e].tobytes() + left.tobytes() + right.tobytes()))
         return packed(out)
 
     def cut(docs_: pa.Table, replies: pa.Table) -> pa.Table:
-        c = Chunk(docs_, replies)
+        c = Chunk(docs_, replies, plan.name)
         c.contexts(buckets)
         gone, place = c.removed(), {k: i for i, k in enumerate(c.own)}
         rows = []
@@ -305,28 +314,46 @@ def _dedup(docs: DataFrame, finish, schema, hot: int = HOT, **sizes) -> DataFram
                 rows.append(np.ones(len(raw), bool))
             else:
                 rows.append(gone[c.start[place[k]] : c.start[place[k] + 1]] if k in place else None)
-        return finish(c, rows, docs_)
+        return finish(c, rows, docs_.drop([plan.name]))
 
     def meet(replies: DataFrame, f, schema_) -> DataFrame:
-        return chunked.groupBy(CHUNK).cogroup(replies.groupBy("chunk")).applyInArrow(f, schema_)
+        return chunked.groupBy(plan.name).cogroup(replies.groupBy("chunk")).applyInArrow(f, schema_)
 
-    counted = meet(copies, ask, PACKED).groupBy("bucket").applyInArrow(lambda t: count_bucket(t, hot), PACKED)
-    sorted_ = meet(copies.union(counted), send, PACKED).groupBy("bucket").applyInArrow(_sort, PACKED)
-    return meet(copies.union(counted).union(sorted_), cut, schema)
+    counted = counts(meet(copies, ask, PACKED), hot)
+    met = meet(copies.union(counted), send, PACKED).groupBy("bucket", "kind").applyInArrow(_in_part, PACKED)
+    over = met.filter("kind = 9").groupBy("bucket").applyInArrow(_over_parts, PACKED)
+    return meet(copies.union(counted).union(met.filter("kind = 4")).union(over), cut, schema)
 
 
-def _sort(rows_: pa.Table) -> pa.Table:
-    """A bucket's contexts to their masks."""
+def _in_part(rows_: pa.Table) -> pa.Table:
+    """A bucket's contexts from the chunks of one part to their masks (4); contexts with windows that are first in the part go on (9)."""
     rows = rows_.to_pylist()
     n = [len(r["more"]) // 10 for r in rows]
     raw = np.concatenate([np.frombuffer(r["data"], np.uint8).reshape(-1, WIDE) for r in rows])
     doc = np.concatenate([np.frombuffer(r["more"], np.int64, m) for r, m in zip(rows, n, strict=True)])
     left, right = (np.concatenate([np.frombuffer(r["more"], np.uint8, m, (8 + k) * m) for r, m in zip(rows, n, strict=True)]) for k in (0, 1))
     mask, out, at = resolve(raw, left, right, doc), [], 0
+    chunk, index = np.repeat([r["chunk"] for r in rows], n), np.concatenate([np.arange(m) for m in n])
     for r, m in zip(rows, n, strict=True):
         if (own := mask[at : at + m]).any():
             out.append((4, r["chunk"], r["bucket"], own.tobytes(), None))
         at += m
+    k = np.flatnonzero(mask != possible(left, right))
+    if len(k):
+        out.append((9, rows[0]["kind"], rows[0]["bucket"], raw[k].tobytes(), b"".join(x[k].astype(np.int64).tobytes() for x in (doc, left, right, chunk, index))))
+    return packed(out)
+
+
+def _over_parts(rows_: pa.Table) -> pa.Table:
+    """What each part of a bucket has first to masks (5) over all parts."""
+    rows = rows_.to_pylist()
+    raw = np.concatenate([np.frombuffer(r["data"], np.uint8).reshape(-1, WIDE) for r in rows])
+    doc, left, right, chunk, index = np.concatenate([np.frombuffer(r["more"], np.int64).reshape(5, -1) for r in rows], axis=1)
+    mask, out = resolve(raw, left.astype(np.uint8), right.astype(np.uint8), doc), []
+    order = np.lexsort((index, chunk))
+    order = order[mask[order] > 0]
+    for k in np.split(order, np.flatnonzero(np.diff(chunk[order])) + 1) if len(order) else []:
+        out.append((5, int(chunk[k[0]]), rows[0]["bucket"], mask[k].tobytes(), index[k].tobytes()))
     return packed(out)
 
 
@@ -377,7 +404,7 @@ def remove(docs: DataFrame, **sizes) -> DataFrame:
         texts = [kept_text(raw, g) if g is not None and g.any() else None for raw, g in zip(c.texts, gone, strict=True)]
         old = docs_["text"].to_pylist()
         new = [o if t is None else t for o, t in zip(old, texts, strict=True)]
-        out = docs_.drop([CHUNK])
+        out = docs_
         out = out.set_column(out.schema.get_field_index("text"), "text", pa.array(new, pa.string()))
         if "n_chars" in out.column_names:
             k = out.schema.get_field_index("n_chars")

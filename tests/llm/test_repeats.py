@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusloom.llm import substrings, suffix
@@ -77,7 +78,7 @@ def word_rows():
     return [*rows, (300, None), (301, ""), (302, rows[5][1]), (303, rows[5][1]), (5, rows[5][1]), (None, " ".join(base)), (400, " ".join(base + base)), (400, " ".join(base))]
 
 
-@pytest.mark.parametrize("sizes", [{}, {"hot": 1}, {"chunk_bytes": 1000, "bucket_bytes": 3000}, {"chunk_bytes": 1000, "bucket_bytes": 3000, "hot": 2}])
+@pytest.mark.parametrize("sizes", [{}, {"hot": 1}, {"chunk_bytes": 1000, "bucket_bytes": 3000}, {"chunk_bytes": 1000, "bucket_bytes": 3000, "hot": 2}, {"chunk_bytes": 300, "bucket_bytes": 9000, "hot": 9}])
 def test_bytes(spark, sizes):
     rows = byte_rows()
     docs = spark.createDataFrame([(*r, 1, "x") for r in rows], DOCS + ", chunk long, _x string")
@@ -121,7 +122,7 @@ def test_text_left(spark):
     assert set(got) == {1, 2, 4, 5} and got[1].text == "start " + long and got[2].text == " own tail" and got[2].n_chars == 9 and got[2].source == "l" and got[4].text is None
 
 
-@pytest.mark.parametrize("sizes", [{}, {"chunk_bytes": 3000, "bucket_bytes": 5000}, {"chunk_bytes": 500, "bucket_bytes": 500}])
+@pytest.mark.parametrize("sizes", [{}, {"chunk_bytes": 3000, "bucket_bytes": 5000}, {"chunk_bytes": 500, "bucket_bytes": 500}, {"chunk_bytes": 200, "bucket_bytes": 9000}])
 def test_words(spark, sizes):
     rows = word_rows()
     docs = spark.createDataFrame([(*r, 1) for r in rows], DOCS + ", bucket long")
@@ -130,8 +131,67 @@ def test_words(spark, sizes):
 
 
 def test_automaton():
-    a = substrings.SuffixAutomaton([[b"a", b"b", b"a", b"b", b"c"], [b"b", b"c", b"a"]])
+    a = substrings.SuffixAutomaton()
+    a.add([b"a", b"b", b"a", b"b", b"c"])
+    a.add([b"b", b"c", b"a"])
     assert a.matches([b"a", b"b", b"c", b"a", b"x", b"b", b"c", b"a"]) == [1, 2, 3, 3, 0, 1, 2, 3]
+    rng = random.Random(4)
+    for _ in range(50):
+        rows = [[rng.choice([b"x", b"y", b"z"]) for _ in range(rng.randint(0, 30))] for _ in range(5)]
+        a, have = substrings.SuffixAutomaton(), set()
+        for row in rows:
+            probe = rng.choices([b"x", b"y", b"z"], k=40)
+            longest = [max((n for n in range(e + 1) if tuple(probe[e + 1 - n : e + 1]) in have or not n), default=0) for e in range(40)]
+            assert [min(m, e + 1) for e, m in enumerate(a.matches(probe))] == [max([n for n in range(1, e + 2) if tuple(probe[e + 1 - n : e + 1]) in have], default=0) for e in range(40)], longest
+            a.add(row)
+            have |= {tuple(row[s:e]) for s in range(len(row)) for e in range(s + 1, len(row) + 1)}
+
+
+def test_automata_decide(spark, monkeypatch):
+    """Matching statistics alone tell what goes: where an automaton finds nothing, no word is removed."""
+    rows = [r for r in word_rows() if r[0] is not None]
+    w = substrings.Words(pa.table({"_chunk": [0] * len(rows), "doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]}), "_chunk")
+    k = [i for i in range(len(w.lo)) if i % 3 == 0]
+    segs = [w.text(w.lo[i], w.hi[i] + substrings.SPAN).split(b" ") for i in k]
+    found, _ = substrings._shards(segs, w.doc[k], w.place[k], w.hash[k], np.zeros(len(k), bool))
+    assert any(f.any() for f in found)
+    monkeypatch.setattr(substrings, "SHARD_WORDS", 50)  # many automata, the same result
+    again, _ = substrings._shards(segs, w.doc[k], w.place[k], w.hash[k], np.zeros(len(k), bool))
+    assert all((x == y).all() for x, y in zip(found, again, strict=True))
+    monkeypatch.setattr(substrings.SuffixAutomaton, "matches", lambda self, words: [0] * len(words))
+    none, _ = substrings._shards(segs, w.doc[k], w.place[k], w.hash[k], np.zeros(len(k), bool))
+    assert not any(f.any() for f in none)
+
+
+def test_very_long_words_and_texts(spark):
+    rows = [(1, "x" * 200_000 + " " + " ".join(f"v{i}" for i in range(30_000))), (2, " ".join(f"v{i}" for i in range(100, 29_000)) + " " + "x" * 200_000), (3, "y" * 300_000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    assert sorted((tuple(r) for r in substrings.repeats(docs).drop("removed").collect()), key=str) == brute_words(rows)
+    assert sorted((tuple(r) for r in suffix.spans(docs).drop("text_hash", "spans").collect()), key=str) == brute_bytes(rows)
+
+
+def test_clashing_columns(spark):
+    long = "".join(random.Random(1).choices("abcdefgh ", k=200))
+    docs = spark.createDataFrame([(1, long, 5, "a"), (2, long + "tail", 6, "b"), (None, long, 7, "c")], "doc_id long, text string, _chunk int, _CHUNK_ string")
+    assert sorted(map(tuple, suffix.remove(docs).collect()), key=str) == sorted([(1, long, 5, "a"), (2, "tail", 6, "b"), (None, long, 7, "c")], key=str)
+
+
+def test_chunk_contexts_whose_hashes_collide(monkeypatch):
+    rng = random.Random(9)
+    base = "".join(rng.choices("ab", k=300))
+    docs = pa.table({"c": [0] * 6, "doc_id": list(range(6)), "text": [base[k * 7 : k * 7 + 150] for k in range(6)]})
+    none = pa.table({"kind": pa.array([], pa.int32()), "chunk": [], "bucket": [], "data": [], "more": []})
+
+    def contexts():
+        c = suffix.Chunk(docs, none, "c")
+        monkeypatch.setattr(suffix, "codes", lambda *x: np.ones(len(c.entries.hash), np.uint8))
+        c.contexts(1)
+        return c, [c.ctx[i].tobytes() + c.inside[i].tobytes() for i in c.of]
+
+    c, want = contexts()
+    monkeypatch.setattr(suffix, "mix", lambda x: np.zeros(len(x), np.uint64))
+    d, got = contexts()
+    assert got == want and len(c.ctx) == len(d.ctx) > 1
 
 
 def test_word_hashes():
