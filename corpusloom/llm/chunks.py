@@ -6,8 +6,8 @@ Documents are dealt to chunks by doc_id; a chunk sends each bucket its distinct
 gets back as many codes. As the entries are ordered by hash, codes need no key. Chunks and buckets grow in number with the input and stay
 the same in size; where a chunk has few anchors for each of very many buckets, rows are simply short.
 
-An anchor that all chunks have is an entry a chunk. So chunks are dealt to parts: a bucket is first met part by part, where equal entries
-become one, and then as a whole; neither meeting has more than about the square root of the chunks.
+An anchor that all chunks have is an entry a chunk. So chunks are dealt to parts: the entries of a bucket are first met part by part, where equal ones
+become one, and then as a whole; neither meeting has more than about the square root of the chunks. What hot anchors send to their bucket goes the same way.
 """
 
 from __future__ import annotations
@@ -101,7 +101,8 @@ class Plan:
     def __init__(self, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES):
         total = text_bytes(docs)
         self.chunks, self.buckets = max(1, -(-total // chunk_bytes)), max(1, -(-total // bucket_bytes))
-        self.parts = max(1, -(-self.chunks // max(FAN, isqrt(self.chunks))))
+        self.fan = max(FAN, isqrt(self.chunks))
+        self.parts = max(1, -(-self.chunks // self.fan))
         self.name = unused(CHUNK, docs.columns)
 
     def part(self, chunk: int) -> int:

@@ -71,37 +71,39 @@ class SuffixAutomaton:
             out.append(l)
         return out
 
-    def windows(self, words: list[bytes]) -> np.ndarray:
+    def windows(self, words: list[bytes]) -> list[bool]:
         """Whether each window of SPAN words is in the automaton."""
-        return np.array(self.matches(words)[SPAN - 1 :]) >= SPAN
+        return [n >= SPAN for n in self.matches(words)[SPAN - 1 :]]
 
 
-def stream(rows: list[list[bytes]], key: list[tuple], more: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray | None]]:
+def stream(rows: list[list[bytes]], key: list[tuple], more: list[bool], last: list[bool]) -> tuple[list[list[bool]], list[list[bool] | None]]:
     """For rows in the order of their keys: which windows a row with a smaller key has; and, where more, which the row's own reference has.
 
-    Each row is streamed through the automaton of the rows before it and then becomes a reference itself, unless all of it is known. At SHARD_WORDS an automaton
-    is full: the rest of the rows pass through it before the next one is begun.
+    Each row is streamed through the automaton of the rows before it and then becomes a reference itself, unless all of it is known or no row to come can have
+    its windows (last). At SHARD_WORDS an automaton is full: the rest of the rows pass through it before the next one is begun.
     """
-    found, own = [np.zeros(len(r) - SPAN + 1, bool) for r in rows], [None] * len(rows)
-    at = 0
-    while at < len(rows):
-        automaton, words = SuffixAutomaton(), 0
-        while at < len(rows) and words < SHARD_WORDS:
+    found: list[list[bool]] = [[False] * (len(r) - SPAN + 1) for r in rows]
+    own: list[list[bool] | None] = [None] * len(rows)
+    at, n = 0, len(rows)
+    while at < n:
+        automaton, words, first = SuffixAutomaton(), 0, at == 0
+        look = (lambda i, a=automaton: a.windows(rows[i])) if first else (lambda i, a=automaton: [x or y for x, y in zip(found[i], a.windows(rows[i]), strict=True)])
+        while at < n and words < SHARD_WORDS:
             end = at + 1
-            while end < len(rows) and key[end] == key[at]:
+            while end < n and key[end] == key[at]:
                 end += 1
             for i in range(at, end):
-                found[i] |= automaton.windows(rows[i])
+                found[i] = look(i)
             for i in range(at, end):
-                if not found[i].all():
+                if not all(found[i]) and (more[i] or not last[i]):
                     automaton.add(rows[i])
                     words += len(rows[i])
             for i in range(at, end):
                 if more[i]:
-                    own[i] = found[i] | automaton.windows(rows[i])
+                    own[i] = [x or y for x, y in zip(found[i], automaton.windows(rows[i]), strict=True)]
             at = end
-        for i in range(at, len(rows)):
-            found[i] |= automaton.windows(rows[i])
+        for i in range(at, n):
+            found[i] = [x or y for x, y in zip(found[i], automaton.windows(rows[i]), strict=True)]
     return found, own
 
 
@@ -181,82 +183,102 @@ class Words:
         edge = np.flatnonzero(np.diff(np.r_[1, gone.view(np.int8), 1]))
         return b" ".join([self.text(s, e) for s, e in (edge.reshape(-1, 2) + self.start[k]).tolist()])
 
-    def segments(self, replies: list[dict], buckets: int) -> dict[int, list[tuple[bytes, list[int]]]]:
-        """By bucket, the distinct words of the runs whose anchor repeats, each with its runs in the order of their places."""
-        pick = np.flatnonzero(codes(self.entries, [r for r in replies if r["kind"] == 2], buckets)[self.entries.entry] > 0)
+    def segments(self, replies: list[dict], buckets: int) -> None:
+        """The distinct words of the runs whose anchor repeats, in order of bucket (begun at cut) and anchor: texts, the runs of each (of, by run) and the first of
+        them in order of place (head); and whether the anchor is hot."""
+        code = codes(self.entries, [r for r in replies if r["kind"] == 2], buckets)[self.entries.entry]
+        pick = np.flatnonzero(code)
         pick = pick[np.lexsort((self.place[pick], self.doc[pick], self.hash[pick]))]
-        found: dict[bytes, list[int]] = {}
-        for i in pick.tolist():
-            found.setdefault(self.text(self.lo[i], self.hi[i] + SPAN), []).append(i)
-        by: dict[int, list[tuple[bytes, list[int]]]] = {}
-        for words, runs in found.items():
-            by.setdefault(int(bucket_of(self.hash[runs[0]], buckets)), []).append((words, runs))
-        return by
+        found: dict[bytes, int] = {}
+        self.run, self.of = pick, np.array([found.setdefault(self.text(s, e), len(found)) for s, e in zip(self.lo[pick].tolist(), (self.hi[pick] + SPAN).tolist(), strict=True)], np.int64)
+        self.texts, first = list(found), np.unique(self.of, return_index=True)[1]
+        self.head, self.several = pick[first], np.bincount(self.of) > 1
+        self.bucket, self.hot = bucket_of(self.hash[self.head], buckets).astype(np.int64), code[self.head] == 2
+        self.cut = np.flatnonzero(np.r_[True, np.diff(self.bucket) != 0, True]) if len(first) else np.zeros(1, np.int64)
+
+    def sent(self, part: int):
+        """Rows for the buckets: hot segments of the kind of the chunk's part, others of kind -1."""
+        for s, e in zip(self.cut[:-1].tolist(), self.cut[1:].tolist(), strict=True):
+            for hot, kind in ((False, -1), (True, part)):
+                k = s + np.flatnonzero(self.hot[s:e] == hot)
+                if len(k):
+                    i = self.head[k]
+                    head = np.stack([self.doc[i], self.place[i], self.hash[i].view(np.int64), np.full(len(k), self.chunk), k - s])
+                    yield kind, self.chunk, int(self.bucket[s]), b"\n".join([self.texts[j] for j in k.tolist()]), head.tobytes() + self.several[k].tobytes()
+
+    def gone(self, replies: list[dict]) -> np.ndarray:
+        """By word, whether a window that covers it is found earlier."""
+        size = (self.hi - self.lo + 1)[self.head]
+        base = np.r_[0, np.cumsum(size)]
+        found, own = np.zeros(base[-1], np.uint8), np.zeros(base[-1], np.uint8)
+        begin = dict(zip(self.bucket[self.cut[:-1]].tolist(), self.cut[:-1].tolist(), strict=True))
+        for r in replies:
+            if r["kind"] in (7, 8):
+                k = begin[r["bucket"]] + np.frombuffer(r["more"], np.int64)
+                for bits, to, j in ((r["data"][: (size[k].sum() + 7) // 8], found, k), (r["data"][(size[k].sum() + 7) // 8 :], own, k[self.several[k]])):
+                    if bits:
+                        to[_ranges(base[j], size[j])] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=size[j].sum())
+        first = self.head[self.of]
+        later = (self.doc[self.run] != self.doc[first]) | (self.place[self.run] != self.place[first])
+        n = size[self.of]
+        at = _ranges(base[self.of], n)
+        hit = _ranges(self.lo[self.run], n)[np.where(np.repeat(later, n), own[at], found[at]) > 0]
+        words = int(self.start[-1])
+        edge = np.bincount(hit, minlength=words + SPAN + 1) - np.bincount(hit + SPAN, minlength=words + SPAN + 1)
+        return np.cumsum(edge)[:words] > 0
+
+
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... (n of them) one after another."""
+    return np.repeat(start - np.r_[0, np.cumsum(n)][:-1], n) + np.arange(int(n.sum()))
 
 
 def _shards(rows: list[list[bytes]], doc: np.ndarray, place: np.ndarray, anchor: np.ndarray, more: np.ndarray):
     """stream over shards of whole anchors."""
     order = np.lexsort((place, doc, anchor))
+    last = np.r_[np.diff(anchor[order].view(np.int64)) != 0, True][: len(order)]
     found, own = [None] * len(rows), [None] * len(rows)
-    at = 0
+    at, size = 0, np.cumsum([len(rows[i]) for i in order])
+    ends = np.flatnonzero(last) + 1
     while at < len(order):
-        end, words = at, 0
-        while end < len(order) and (words < SHARD_WORDS or anchor[order[end]] == anchor[order[end - 1]]):
-            words += len(rows[order[end]])
-            end += 1
+        end = int(ends[min(len(ends) - 1, np.searchsorted(size[ends - 1], (size[at - 1] if at else 0) + SHARD_WORDS))])
         k = order[at:end].tolist()
-        for i, f, o in zip(k, *stream([rows[i] for i in k], [(doc[i], place[i]) for i in k], more[k]), strict=True):
+        for i, f, o in zip(k, *stream([rows[i] for i in k], list(zip(doc[k].tolist(), place[k].tolist(), strict=True)), more[k].tolist(), last[at:end].tolist()), strict=True):
             found[i], own[i] = f, o
         at = end
     return found, own
 
 
-def _bits(parts: list) -> bytes:
-    return np.packbits(np.concatenate(parts)).tobytes() if parts else b""
+def _meet(part: bool, rows_: pa.Table) -> pa.Table:
+    """Segments that meet in a bucket, of one part or of all: which of their windows start earlier among them, told to their chunks (7 and 8).
 
-
-def _in_part(rows_: pa.Table) -> pa.Table:
-    """A bucket's segments from the chunks of one part: which of their windows start earlier in the part (7); what has others goes on (9)."""
-    rows = rows_.to_pylist()
-    n = [len(r["more"]) // 25 for r in rows]
-    segs = [seg.split(b" ") for r in rows for seg in r["data"].split(b"\n")]
-    doc, place, anchor = (np.concatenate([np.frombuffer(r["more"], t, m, 8 * k * m) for r, m in zip(rows, n, strict=True)]) for k, t in enumerate((np.int64, np.int64, np.uint64)))
-    more = np.concatenate([np.frombuffer(r["more"], np.uint8, m, 24 * m) for r, m in zip(rows, n, strict=True)])
-    found, own = _shards(segs, doc, place, anchor, more)
-    out, at, on = [], 0, []
-    for r, m in zip(rows, n, strict=True):
-        out.append((7, r["chunk"], r["bucket"], _bits(found[at : at + m]), _bits([o for o in own[at : at + m] if o is not None])))
-        on += [(at + i, r["chunk"], i) for i in range(m) if not found[at + i].all()]
-        at += m
-    if on:
-        k = [i for i, _, _ in on]
-        head = [doc[k], place[k], anchor[k].view(np.int64), np.array([c for _, c, _ in on]), np.array([i for _, _, i in on])]
-        out.append((9, rows[0]["kind"], rows[0]["bucket"], b"\n".join(b" ".join(segs[i]) for i in k), b"".join(x.astype(np.int64).tobytes() for x in head)))
-    return packed(out)
-
-
-def _over_parts(rows_: pa.Table) -> pa.Table:
-    """What each part of a bucket has first: which of its windows start earlier in another part (8)."""
+    Of a part, segments with other windows go on to the whole bucket (9).
+    """
     rows = rows_.to_pylist()
+    n = [len(r["more"]) // 41 for r in rows]
     segs = [seg.split(b" ") for r in rows for seg in r["data"].split(b"\n")]
-    doc, place, anchor, chunk, index = np.concatenate([np.frombuffer(r["more"], np.int64).reshape(5, -1) for r in rows], axis=1)
-    found, _ = _shards(segs, doc, place, anchor.view(np.uint64), np.zeros(len(segs), bool))
-    out, by = [], {}
-    for i, c in enumerate(chunk.tolist()):
-        if found[i].any():
-            by.setdefault(c, []).append(i)
-    for c, k in by.items():
-        out.append((8, c, rows[0]["bucket"], _bits([found[i] for i in k]), index[k].tobytes()))
+    doc, place, anchor, chunk, index = np.concatenate([np.frombuffer(r["more"], np.int64, 5 * m).reshape(5, -1) for r, m in zip(rows, n, strict=True)], axis=1)
+    more = np.concatenate([np.frombuffer(r["more"], bool, m, 40 * m) for r, m in zip(rows, n, strict=True)])
+    found, own = _shards(segs, doc, place, anchor.view(np.uint64), more)
+    out, order = [], np.lexsort((index, chunk))
+    for k in np.split(order, np.flatnonzero(np.diff(chunk[order])) + 1):
+        bits, also = ([x for i in k.tolist() for x in of[i] or ()] for of in (found, own))
+        out.append((7 if part else 8, int(chunk[k[0]]), rows[0]["bucket"], np.packbits(bits).tobytes() + (np.packbits(also).tobytes() if also else b""), index[k].tobytes()))
+    if part and len(k := np.array([i for i, f in enumerate(found) if not all(f)], np.int64)):
+        head = np.stack([doc[k], place[k], anchor[k], chunk[k], index[k]])
+        # what a segment's own reference has is settled
+        out.append((9, rows[0]["kind"], rows[0]["bucket"], b"\n".join([b" ".join(segs[i]) for i in k.tolist()]), head.tobytes() + bytes(len(k))))
     return packed(out)
 
 
-def repeats(docs: DataFrame, **sizes) -> DataFrame:
+def repeats(docs: DataFrame, hot: int | None = None, **sizes) -> DataFrame:
     """For every row of docs (doc_id, text): doc_id, n_words, n_removed, kept_sha256 and removed (a bit by word).
 
     A word goes if a window of SPAN words that covers it also starts earlier: in a smaller doc_id or before in the same one. Hashes only choose
     where windows that may be equal meet: segments of documents go to the shards of their anchors, are streamed through the suffix automaton of the shard's references, and the matching
     statistics decide. Null texts have no words; rows of one doc_id are copies at the same places, none earlier; rows without doc_id lose and remove
-    nothing; an empty table gives no rows; other columns are ignored. Equal segments of one chunk are sent once.
+    nothing; an empty table gives no rows; other columns are ignored. Equal segments of one chunk are sent once; those of anchors in more than hot chunks meet
+    part by part first.
     """
     plan = Plan(docs.select("doc_id", "text"), **sizes)
     chunked, buckets = plan.chunked(docs.select("doc_id", "text")), plan.buckets
@@ -266,34 +288,14 @@ def repeats(docs: DataFrame, **sizes) -> DataFrame:
         return packed(w.entries.ask(w.chunk, plan))
 
     def ask(docs_: pa.Table, replies: pa.Table) -> pa.Table:
-        w, out = Words(docs_, plan.name), []
-        for b, segs in w.segments(replies.to_pylist(), buckets).items():
-            i = [runs[0] for _, runs in segs]
-            more = w.doc[i].tobytes() + w.place[i].astype(np.int64).tobytes() + w.hash[i].tobytes() + bytes(len(runs) > 1 for _, runs in segs)
-            out.append((plan.part(w.chunk), w.chunk, b, b"\n".join(x for x, _ in segs), more))
-        return packed(out)
+        w = Words(docs_, plan.name)
+        w.segments(replies.to_pylist(), buckets)
+        return packed(list(w.sent(plan.part(w.chunk))))
 
     def cut(docs_: pa.Table, replies: pa.Table) -> pa.Table:
         w, rows = Words(docs_, plan.name), replies.to_pylist()
-        edge = np.zeros(w.start[-1] + SPAN + 1, np.int64)
-        by = {(r["kind"], r["bucket"]): r for r in rows if r["kind"] > 2}
-        for b, segs in w.segments(rows, buckets).items():
-            r = by[7, b]
-            size = np.array([w.hi[runs[0]] - w.lo[runs[0]] + 1 for _, runs in segs])
-            found = np.split(np.unpackbits(np.frombuffer(r["data"], np.uint8), count=size.sum()), np.cumsum(size)[:-1])
-            several = [k for k, (_, runs) in enumerate(segs) if len(runs) > 1]
-            own = dict(zip(several, np.split(np.unpackbits(np.frombuffer(r["more"], np.uint8), count=size[several].sum()), np.cumsum(size[several])[:-1]), strict=True)) if several else {}
-            if r := by.get((8, b)):
-                k = np.frombuffer(r["more"], np.int64)
-                for i, f in zip(k.tolist(), np.split(np.unpackbits(np.frombuffer(r["data"], np.uint8), count=size[k].sum()), np.cumsum(size[k])[:-1]), strict=True):
-                    found[i] = found[i] | f
-            for k, (_, runs) in enumerate(segs):
-                for i in runs:
-                    same = w.doc[i] == w.doc[runs[0]] and w.place[i] == w.place[runs[0]]
-                    hit = w.lo[i] + np.flatnonzero(found[k] if same else own[k])
-                    edge[hit] += 1
-                    edge[hit + SPAN] -= 1
-        gone, out = np.cumsum(edge)[: w.start[-1]] > 0, []
+        w.segments(rows, buckets)
+        gone, out = w.gone(rows), []
         for k, doc in enumerate(w.ids):
             g = gone[w.start[k] : w.start[k + 1]]
             out.append((doc, len(g), int(g.sum()), hashlib.sha256(w.kept(k, g)).hexdigest(), np.packbits(g).tobytes()))
@@ -303,10 +305,11 @@ def repeats(docs: DataFrame, **sizes) -> DataFrame:
     def meet(replies: DataFrame, f, schema: str) -> DataFrame:
         return chunked.groupBy(plan.name).cogroup(replies.groupBy("chunk")).applyInArrow(f, schema)
 
-    counted = counts(chunked.groupBy(plan.name).applyInArrow(first, PACKED), 1 << 40)
-    met = meet(counted, ask, PACKED).groupBy("bucket", "kind").applyInArrow(_in_part, PACKED)
-    over = met.filter("kind = 9").groupBy("bucket").applyInArrow(_over_parts, PACKED)
-    return meet(counted.union(met.filter("kind = 7")).union(over), cut, OUT)
+    counted = counts(chunked.groupBy(plan.name).applyInArrow(first, PACKED), plan.fan if hot is None else hot)
+    asked = meet(counted, ask, PACKED)
+    parts = asked.filter("kind >= 0").groupBy("bucket", "kind").applyInArrow(lambda t: _meet(True, t), PACKED)
+    whole = asked.filter("kind < 0").union(parts.filter("kind = 9")).groupBy("bucket").applyInArrow(lambda t: _meet(False, t), PACKED)
+    return meet(counted.union(parts.filter("kind = 7")).union(whole), cut, OUT)
 
 
 def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -197,8 +197,7 @@ class Chunk:
         rows = replies.to_pylist()
         copies = {r["bucket"] for r in rows if r["kind"] == 0}
         self.replies = [r for r in rows if r["kind"] == 2]
-        self.masks = {r["bucket"]: r["data"] for r in rows if r["kind"] == 4}
-        self.over = {r["bucket"]: r for r in rows if r["kind"] == 5}
+        self.masks = [r for r in rows if r["kind"] in (4, 5)]
         self.ids, self.texts = docs["doc_id"].to_pylist(), [(t or "").encode() for t in docs["text"].to_pylist()]
         self.id = docs[name][0].as_py() if len(docs) else 0
         self.copy = [d in copies for d in self.ids]
@@ -250,17 +249,15 @@ class Chunk:
         first = order[new]
         self.of = np.empty(len(at), np.int64)
         self.of[order] = np.cumsum(new) - 1
-        self.ctx, self.inside, self.owner, self.bucket = ctx[first], inside[first], doc[first], b[first]
+        self.ctx, self.inside, self.owner, self.bucket, self.hot = ctx[first], inside[first], doc[first], b[first], whole[first]
         self.cut = np.flatnonzero(np.r_[True, self.bucket[1:] != self.bucket[:-1], True]) if len(first) else np.zeros(1, np.int64)
 
     def removed(self) -> np.ndarray:
         """By byte, whether it goes."""
         mask = np.zeros(len(self.ctx), np.uint32)
-        for s, e in zip(self.cut[:-1], self.cut[1:], strict=True):
-            if data := self.masks.get(int(self.bucket[s])):
-                mask[s:e] = np.frombuffer(data, np.uint32)
-            if more := self.over.get(int(self.bucket[s])):
-                mask[s + np.frombuffer(more["more"], np.int64)] |= np.frombuffer(more["data"], np.uint32)
+        begin = dict(zip(self.bucket[self.cut[:-1]].tolist(), self.cut[:-1].tolist(), strict=True))
+        for r in self.masks:
+            mask[begin[r["bucket"]] + np.frombuffer(r["more"], np.int64)] |= np.frombuffer(r["data"], np.uint32)
         full = possible(self.inside[:, :LEFT].sum(axis=1), self.inside[:, LEFT:].sum(axis=1))
         # the owner has what the mask says; later documents of the chunk have all that the owner has
         mine = np.where(self.of_doc > self.owner[self.of], full[self.of], mask[self.of])
@@ -301,7 +298,10 @@ def _dedup(docs: DataFrame, finish, schema, hot: int = HOT, **sizes) -> DataFram
         out = []
         for s, e in zip(c.cut[:-1], c.cut[1:], strict=True):
             left, right = c.inside[s:e, :LEFT].sum(axis=1).astype(np.uint8), c.inside[s:e, LEFT:].sum(axis=1).astype(np.uint8)
-            out.append((plan.part(c.id), c.id, int(c.bucket[s]), c.ctx[s:e].tobytes(), c.owner[s:e].tobytes() + left.tobytes() + right.tobytes()))
+            for hot_, kind in ((False, -1), (True, plan.part(c.id))):
+                if len(k := np.flatnonzero(c.hot[s:e] == hot_)):
+                    head = np.stack([c.owner[s + k], left[k], right[k], np.full(len(k), c.id), k]).astype(np.int64)
+                    out.append((kind, c.id, int(c.bucket[s]), c.ctx[s + k].tobytes(), head.tobytes()))
         return packed(out)
 
     def cut(docs_: pa.Table, replies: pa.Table) -> pa.Table:
@@ -320,32 +320,17 @@ def _dedup(docs: DataFrame, finish, schema, hot: int = HOT, **sizes) -> DataFram
         return chunked.groupBy(plan.name).cogroup(replies.groupBy("chunk")).applyInArrow(f, schema_)
 
     counted = counts(meet(copies, ask, PACKED), hot)
-    met = meet(copies.union(counted), send, PACKED).groupBy("bucket", "kind").applyInArrow(_in_part, PACKED)
-    over = met.filter("kind = 9").groupBy("bucket").applyInArrow(_over_parts, PACKED)
-    return meet(copies.union(counted).union(met.filter("kind = 4")).union(over), cut, schema)
+    sent = meet(copies.union(counted), send, PACKED)
+    parts = sent.filter("kind >= 0").groupBy("bucket", "kind").applyInArrow(lambda t: _meet(True, t), PACKED)
+    whole = sent.filter("kind < 0").union(parts.filter("kind = 9")).groupBy("bucket").applyInArrow(lambda t: _meet(False, t), PACKED)
+    return meet(copies.union(counted).union(parts.filter("kind = 4")).union(whole), cut, schema)
 
 
-def _in_part(rows_: pa.Table) -> pa.Table:
-    """A bucket's contexts from the chunks of one part to their masks (4); contexts with windows that are first in the part go on (9)."""
-    rows = rows_.to_pylist()
-    n = [len(r["more"]) // 10 for r in rows]
-    raw = np.concatenate([np.frombuffer(r["data"], np.uint8).reshape(-1, WIDE) for r in rows])
-    doc = np.concatenate([np.frombuffer(r["more"], np.int64, m) for r, m in zip(rows, n, strict=True)])
-    left, right = (np.concatenate([np.frombuffer(r["more"], np.uint8, m, (8 + k) * m) for r, m in zip(rows, n, strict=True)]) for k in (0, 1))
-    mask, out, at = resolve(raw, left, right, doc), [], 0
-    chunk, index = np.repeat([r["chunk"] for r in rows], n), np.concatenate([np.arange(m) for m in n])
-    for r, m in zip(rows, n, strict=True):
-        if (own := mask[at : at + m]).any():
-            out.append((4, r["chunk"], r["bucket"], own.tobytes(), None))
-        at += m
-    k = np.flatnonzero(mask != possible(left, right))
-    if len(k):
-        out.append((9, rows[0]["kind"], rows[0]["bucket"], raw[k].tobytes(), b"".join(x[k].astype(np.int64).tobytes() for x in (doc, left, right, chunk, index))))
-    return packed(out)
+def _meet(part: bool, rows_: pa.Table) -> pa.Table:
+    """Contexts that meet in a bucket, of one part or of all, to masks for their chunks (4 and 5).
 
-
-def _over_parts(rows_: pa.Table) -> pa.Table:
-    """What each part of a bucket has first to masks (5) over all parts."""
+    Of a part, contexts with windows that are first in it go on to the whole bucket (9).
+    """
     rows = rows_.to_pylist()
     raw = np.concatenate([np.frombuffer(r["data"], np.uint8).reshape(-1, WIDE) for r in rows])
     doc, left, right, chunk, index = np.concatenate([np.frombuffer(r["more"], np.int64).reshape(5, -1) for r in rows], axis=1)
@@ -353,7 +338,9 @@ def _over_parts(rows_: pa.Table) -> pa.Table:
     order = np.lexsort((index, chunk))
     order = order[mask[order] > 0]
     for k in np.split(order, np.flatnonzero(np.diff(chunk[order])) + 1) if len(order) else []:
-        out.append((5, int(chunk[k[0]]), rows[0]["bucket"], mask[k].tobytes(), index[k].tobytes()))
+        out.append((4 if part else 5, int(chunk[k[0]]), rows[0]["bucket"], mask[k].tobytes(), index[k].tobytes()))
+    if part and len(k := np.flatnonzero(mask != possible(left, right))):
+        out.append((9, rows[0]["kind"], rows[0]["bucket"], raw[k].tobytes(), np.stack([doc[k], left[k], right[k], chunk[k], index[k]]).tobytes()))
     return packed(out)
 
 

@@ -122,7 +122,7 @@ def test_text_left(spark):
     assert set(got) == {1, 2, 4, 5} and got[1].text == "start " + long and got[2].text == " own tail" and got[2].n_chars == 9 and got[2].source == "l" and got[4].text is None
 
 
-@pytest.mark.parametrize("sizes", [{}, {"chunk_bytes": 3000, "bucket_bytes": 5000}, {"chunk_bytes": 500, "bucket_bytes": 500}, {"chunk_bytes": 200, "bucket_bytes": 9000}])
+@pytest.mark.parametrize("sizes", [{}, {"chunk_bytes": 3000, "bucket_bytes": 5000}, {"chunk_bytes": 500, "bucket_bytes": 500}, {"chunk_bytes": 200, "bucket_bytes": 9000}, {"chunk_bytes": 200, "bucket_bytes": 9000, "hot": 0}, {"chunk_bytes": 200, "bucket_bytes": 3000, "hot": 4}])
 def test_words(spark, sizes):
     rows = word_rows()
     docs = spark.createDataFrame([(*r, 1) for r in rows], DOCS + ", bucket long")
