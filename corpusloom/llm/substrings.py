@@ -215,7 +215,8 @@ class Words:
         for r in replies:
             if r["kind"] in (7, 8):
                 k = begin[r["bucket"]] + np.frombuffer(r["more"], np.int64)
-                for bits, to, j in ((r["data"][: (size[k].sum() + 7) // 8], found, k), (r["data"][(size[k].sum() + 7) // 8 :], own, k[self.several[k]])):
+                also = k[self.several[k] & (self.hot[k] == (r["kind"] == 7))]  # the whole bucket tells it of segments that met there only
+                for bits, to, j in ((r["data"][: (size[k].sum() + 7) // 8], found, k), (r["data"][(size[k].sum() + 7) // 8 :], own, also)):
                     if bits:
                         to[_ranges(base[j], size[j])] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=size[j].sum())
         first = self.head[self.of]
