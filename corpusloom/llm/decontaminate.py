@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, table
+from .common import ascii_lower, table, unused
 
 #: Words a window, words a fingerprinted k-gram, and items that make a document contaminated.
 WINDOW, GRAM, ITEMS = 8, 4, 2
@@ -23,66 +23,95 @@ def words(text) -> Column:
     return F.array_remove(F.split(ascii_lower(text), GAP_LOWER), "")
 
 
-def _grams(w: str, k: int) -> Column:
-    """Hashes of the k-grams of the array column w."""
-    return F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda i: F.xxhash64(*(F.get(F.col(w), i + j) for j in range(k))))
+def _whole_grams(m: int) -> Column:
+    """The fingerprints of windows of m words, which are grams themselves, by the words' hashes h."""
+    mark = lambda i: F.struct(F.lit(m).alias("size"), i.alias("at"), F.xxhash64(*(F.get(F.col("h"), i + j) for j in range(m)), F.lit(-m)).alias("fp"))
+    return F.when(F.size("h") >= m, F.transform(F.sequence(F.lit(0), F.size("h") - m), mark))
 
 
-def winnowed(rows: DataFrame, size: int) -> DataFrame:
-    """rows with words w exploded to one row a window of size words: at (its start) and fp, the smallest hash of its
-    k-grams. Rows with fewer words go. Two windows of the same words have the same fp, so no shared window is missed."""
-    k = min(GRAM, size)
-    # no filter here: Spark would push it, and all that the array is made of, below the projections and make it twice
-    grams = rows.withColumn("grams", F.when(F.size("w") >= size, _grams("w", k)))
-    if size > k:
-        last = F.size("grams") - (size - k + 1)
-        mins = F.transform(F.sequence(F.lit(0), last), lambda i: F.least(*(F.get(F.col("grams"), i + j) for j in range(size - k + 1))))
-        mins = F.when(F.col("grams").isNotNull(), mins)
-    else:
-        mins = F.col("grams")
-    return grams.withColumn("mins", mins).drop("grams").select(*rows.columns, F.posexplode_outer("mins").alias("at", "fp"))
+def selected(rows: DataFrame, sizes: list[int]) -> DataFrame:
+    """rows with words w exploded to their fingerprints (size, at, fp): the hash of a k-gram that begins at word at.
+
+    For windows of WINDOW words, a GRAM-gram is kept if its hash is the smallest of some window it is in (all of equals are), so a run of windows with the same smallest gram
+    has one fingerprint and windows of equal words have equal ones. Windows of fewer words are grams themselves.
+    """
+    rows = rows.withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
+    parts = []
+    if WINDOW in sizes:
+        hashes = F.transform(F.sequence(F.lit(0), F.size("h") - GRAM), lambda i: F.xxhash64(*(F.get(F.col("h"), i + j) for j in range(GRAM))))
+        # no filter here: Spark would push it, and all that the array is made of, below the projections and make it twice
+        rows = rows.withColumn("grams", F.when(F.size("w") >= WINDOW, hashes))
+        n = WINDOW - GRAM + 1
+        least = F.transform(F.sequence(F.lit(0), F.size("grams") - n), lambda i: F.least(*(F.get(F.col("grams"), i + j) for j in range(n))))
+        rows = rows.withColumn("least", F.when(F.col("grams").isNotNull(), least))
+        chosen = F.filter(F.sequence(F.lit(0), F.size("grams") - 1), lambda i: F.get(F.col("grams"), i) == F.greatest(*(F.get(F.col("least"), i - j) for j in range(n))))
+        parts.append(F.when(F.col("grams").isNotNull(), F.transform(chosen, lambda i: F.struct(F.lit(WINDOW).alias("size"), i.alias("at"), F.get(F.col("grams"), i).alias("fp")))))
+    parts += [_whole_grams(m) for m in sizes if m < WINDOW]
+    none = F.array().cast("array<struct<size:int,at:int,fp:bigint>>")
+    found = F.concat(*(F.coalesce(x, none) for x in parts)) if len(parts) > 1 else parts[0]
+    drop = [c for c in ("h", "grams", "least") if c in rows.columns]
+    # the outer form: for the other one Spark infers a filter and makes the array for it again
+    return rows.withColumn("found", found).drop(*drop).select(*[c for c in rows.columns if c not in drop], F.inline_outer("found"))
+
+
+def _around() -> tuple[Column, Column, Column]:
+    """Words before a fingerprint (the nearest first), its own, and those after it, as far as a window that holds it can reach."""
+    reach, at = WINDOW - GRAM, F.col("at")
+    k = F.when(F.col("size") == WINDOW, GRAM).otherwise(F.col("size"))
+    whole = F.col("size") == WINDOW
+    none = F.array().cast("array<string>")
+    before = F.when(whole, F.reverse(F.slice("w", F.greatest(at - reach, F.lit(0)) + 1, F.least(at, F.lit(reach))))).otherwise(none)
+    return before, F.slice("w", at + 1, k), F.when(whole, F.slice("w", at + 1 + k, reach)).otherwise(none)
+
+
+def item_fingerprints(benchmark: DataFrame) -> DataFrame:
+    """(size, fp, before, gram, after, items): the distinct fingerprints of all items in their surroundings, each with the items that have it."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w")).filter("item is not null and size(w) > 0").distinct()
+    items = items.withColumn("m", F.least(F.size("w"), F.lit(WINDOW)))
+    found = selected(items, list(range(1, WINDOW + 1))).filter("size = m")
+    before, gram, after = _around()
+    return found.select("item", "size", "fp", before.alias("before"), gram.alias("gram"), after.alias("after")).groupBy("size", "fp", "before", "gram", "after").agg(F.collect_set("item").alias("items"))
 
 
-def _window(size: int) -> Column:
-    return F.array_join(F.slice("w", F.col("at") + 1, size), " ")
+def _common(a: str, b: str) -> Column:
+    """How many of the first words of two arrays are equal, at most what a window can reach."""
+    out = F.lit(0)
+    for j in range(WINDOW - GRAM - 1, -1, -1):
+        out = F.when(F.get(F.col(a), F.lit(j)) == F.get(F.col(b), F.lit(j)), out + 1).otherwise(0)
+    return out
 
 
-def item_windows(benchmark: DataFrame) -> DataFrame:
-    """(size, fp, window, items): the distinct windows of all items, each with the items that have it."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w")).filter("item is not null and size(w) > 0").distinct()
-    parts = [winnowed(items, WINDOW).withColumn("size", F.lit(WINDOW)).withColumn("window", _window(WINDOW))]
-    for m in range(1, WINDOW):
-        parts.append(winnowed(items.filter(F.size("w") == m), m).withColumn("size", F.lit(m)).withColumn("window", _window(m)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out.filter("fp is not null").groupBy("size", "fp", "window").agg(F.collect_set("item").alias("items"))
+def extended(met: DataFrame, key: list[str]) -> DataFrame:
+    """key, at, size and items of the fingerprints of docs (w, at) that meet those of items: hits extended to both sides while words are equal, if they reach a window."""
+    b, g, a = _around()
+    met = met.withColumn("b", b).withColumn("g", g).withColumn("a", a).filter("g = gram").withColumn("l", _common("b", "before")).withColumn("r", _common("a", "after"))
+    return met.filter(F.col("l") + F.size("gram") + F.col("r") >= F.col("size")).select(*key, (F.col("at") - F.col("l")).alias("at"), (F.col("l") + F.size("gram") + F.col("r")).alias("size"), "items")
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, key: list[str], broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """key, spans (sorted distinct structs at, size: the hit windows) and items (sorted item ids as strings) of the docs that have hits.
+    """key, spans (sorted distinct structs at, size: runs of hit windows) and items (sorted item ids as strings) of the docs that have hits.
 
-    Fingerprints of document windows meet those of the benchmark; where they agree the hit is extended to the whole
-    window by comparing its words.
+    Fingerprints of documents meet those of the benchmark; from there a hit is extended to the left and right as long as words are equal.
     """
-    windows = item_windows(benchmark)
-    size = windows.groupBy("size").agg(F.count("*").alias("n"), F.sum(F.length("window") + 16 * F.size("items") + 40).alias("b")).collect()
-    small = sum(r.n for r in size) <= broadcast_rows and sum(r.b for r in size) <= broadcast_bytes
-    found = None
-    for m in sorted(r["size"] for r in size):
-        own = windows.filter(F.col("size") == m).select("fp", "window", "items")
-        rows = docs.select(*key, words(F.col("text")).alias("w"))
-        if small:
-            met = winnowed(rows, m).join(F.broadcast(own), "fp").filter(F.col("window") == _window(m)).select(*key, "at", "items")
-        else:
-            met = winnowed(rows, m).select(*key, "at", "fp").join(own.select("fp").distinct(), "fp", "left_semi").groupBy(*key).agg(F.collect_set("at").alias("starts"))
-            met = met.withColumnsRenamed({k: f"_{k}_met" for k in key})
-            same = reduce(operator.and_, (F.col(k).eqNullSafe(F.col(f"_{k}_met")) for k in key))
-            met = rows.join(met, same).select(*key, "w", F.explode("starts").alias("at")).select(*key, "at", _window(m).alias("window")).join(own, "window").select(*key, "at", "items")
-        met = met.withColumn("size", F.lit(m))
-        found = met if found is None else found.unionByName(met)
-    if found is None:
+    own = item_fingerprints(benchmark)
+    weight = F.sum(16 * F.size("items") + F.length(F.array_join(F.concat("before", "gram", "after"), " ")) + 80)
+    sizes = own.groupBy("size").agg(F.count("*").alias("n"), weight.alias("b")).collect()
+    rows = docs.select(*key, words(F.col("text")).alias("w"))
+    if not sizes:
         return docs.select(*key, F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("size"))).alias("spans"), F.array(F.lit("")).alias("items")).limit(0)
+    some = sorted(r["size"] for r in sizes)
+    if sum(r.n for r in sizes) <= broadcast_rows and sum(r.b for r in sizes) <= broadcast_bytes:
+        found = extended(selected(rows, some).join(F.broadcast(own), ["size", "fp"]), key)
+    else:
+        met = selected(rows, some).select(*key, "size", "at", "fp").join(own.select("size", "fp").distinct(), ["size", "fp"], "left_semi")
+        met = met.groupBy(*key).agg(F.collect_set(F.struct("size", "at", "fp")).alias("starts")).withColumnsRenamed({k: f"_{k}_met" for k in key})
+        same = reduce(operator.and_, (F.col(k).eqNullSafe(F.col(f"_{k}_met")) for k in key))
+        near = rows.join(met, same).select(*key, "w", F.inline("starts"))
+        before, gram, after = _around()
+        # the words a window can reach go on, not the document's
+        near = near.select(*key, "size", "fp", F.col("at").alias("place"), F.size(before).alias("at"), F.concat(F.reverse(before), gram, after).alias("w"))
+        found = extended(near.join(own, ["size", "fp"]).withColumn("shift", F.col("place") - F.col("at")), [*key, "shift"])
+        found = found.withColumn("at", F.col("at") + F.col("shift")).drop("shift")
     return found.groupBy(*key).agg(F.sort_array(F.collect_set(F.struct("at", "size"))).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
 
 
@@ -114,7 +143,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, **bounds) -> DataFrame:
 
     All items are searched for, but one shorter item alone leaves a row: one of a single common word would take most rows with it.
     """
-    key = ["_doc", "_hash"]
+    key = [unused("_doc", docs.columns), unused("_hash", docs.columns)]
     rows = docs.select(F.col("doc_id").alias(key[0]), F.xxhash64("text").alias(key[1]), "text").filter("text is not null")
     found = hits(rows, benchmark, key, **bounds)
     gone = found.filter(F.exists("spans", lambda s: s["size"] >= GRAM) | (F.size("items") >= ITEMS)).select(*key)

@@ -99,6 +99,25 @@ def test_no_leaks(spark):
     assert sorted(r.doc_id for r in decontaminate.clean(more, items).collect()) == [1, 3]
 
 
+def test_winnowing(spark):
+    """About a third of the windows have a fingerprint of their own, and every window holds one; leaks survive changed words around them."""
+    text = " ".join(f"w{i % 400}" for i in range(3000))
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string").select("doc_id", decontaminate.words("text").alias("w"))
+    at = sorted(r["at"] for r in decontaminate.selected(rows, [8]).select("at").collect())
+    assert 0.25 < len(at) / 2993 < 0.45 and max(b - a for a, b in zip(at, at[1:], strict=False)) <= 5
+    item = " ".join(f"q{i}" for i in range(40))
+    docs = [(k, f"x y {' '.join(item.split()[k : k + 9])} z") for k in range(30)] + [(99, " ".join(["q1 q2 q3 q4"] * 6))]
+    for bounds in ({}, {"broadcast_rows": 0}):
+        got = {r.doc_id: r.n_hit for r in decontaminate.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string"), **bounds).collect()}
+        assert got == {k: 9 for k in range(30)} | {99: 0}
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h", 1, "p", 3), (2, "x", 2, "q", 4)], "doc_id long, text string, _doc int, _hash string, at int")
+    got = decontaminate.clean(docs, spark.createDataFrame([(1, "A b c d e f g h")], "item_id long, text string"))
+    assert got.columns == docs.columns and [tuple(r) for r in got.collect()] == [(2, "x", 2, "q", 4)]
+
+
 def test_clean_searches_for_short_items(spark):
     items = spark.createDataFrame([(1, "Who wrote Os Lusiadas?"), (2, "the"), (3, "red deer"), (4, "one two three four five six seven eight nine")], "item_id long, text string")
     docs = [(1, "the cat"), (2, "Asked: who wrote os Lusiadas"), (3, "the red deer"), (4, "red deer"), (5, "wrote os lusiadas"), (6, "two three four five six seven eight nine"), (7, "one two three four five six seven")]
