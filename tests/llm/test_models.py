@@ -103,10 +103,30 @@ def test_licences(spark):
     rows = [(k, t, "z") for k, (t, _) in cases.items()] + [(5, "", "z"), (None, "Released under the MIT License.", "z")]
     out = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string, licence string"), model).collect()}
     assert {k: out[k].licence for k, (_, w) in cases.items() if w} == {k: w for k, (_, w) in cases.items() if w}
-    assert out[7].licences == "all-rights-reserved,mit" and out[7].n_paragraphs == 4 and len(out) == len(cases)
+    assert out[7].licences == "all-rights-reserved,mit" and out[7].n_paragraphs == 4 and len(out) == len(cases) + 1 and out[None].licence == "mit"
     assert licences.scan(docs.limit(0), model).count() == 0 and licences.fit(docs.limit(0)).classes[-1] == "unknown"
 
 
+def test_licence_passages(spark):
+    """Wrapped notices, several families in a line, rows that share a doc_id, and sentences that are no notice."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    model = licences.fit(docs)
+    mit = "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and associated documentation files,\nto deal in the Software without restriction"
+    prose = docs.orderBy("doc_id").first().text
+    cases = {1: (mit, "mit"), 2: ("All rights reserved. Released under the MIT License.", "all-rights-reserved,mit"), 3: ("Intro\n\n" + mit + "\n\nReleased under the BSD License.", "bsd,mit"), 4: ("Released under\n\nthe MIT License.", ""), 5: ("This program is free software: you can redistribute it\nand/or modify it under the terms of the GNU General Public\nLicense as published by the Free Software Foundation", "gpl"), 6: ("long words " * 30_000 + "\n\nReleased under the MIT License.", "mit"), 7: ("All of his rights were reserved for the public.\nThe software licence of the driver was granted.", "")}
+    rows = [(k, t) for k, (t, _) in cases.items()] + [(8, "Released under"), (8, "the MIT License."), (None, mit), (9, None), (9, "\n\n \n")]
+    out = [(r.doc_id, r.licences) for r in licences.scan(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, row int"), model).collect()]
+    assert sorted(out, key=str) == sorted([(k, w) for k, (_, w) in cases.items()] + [(8, ""), (8, ""), (None, "mit"), (9, ""), (9, "")], key=str), prose[:10]
+
+
+def test_unseen_wordings(spark):
+    model = licences.fit(spark.read.parquet(f"{DATA}/documents.parquet"))
+    found = ["This library is released under the terms of the MIT License.", "Code in this folder is licensed under the Apache License, Version 2.0.", "You may use it under the Mozilla Public License, version 2.0.", "Text is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "All images licensed under CC BY-NC 4.0.", "The tool is licensed under the GNU Lesser General Public License, version 2.1."]
+    others = ["The general reserved all rooms of the public house.", "She had a licence and a version of the story.", "The foundation published the terms of the agreement in 2004.", "Free of charge to any person who works there.", "Subject to change without notice.", "The commons were granted to the university by the king."]
+    out = {r.doc_id: r.licence for r in licences.scan(spark.createDataFrame(list(enumerate(found + others)), "doc_id long, text string"), model).collect()}
+    assert [out[k] for k in range(6)] == ["mit", "apache", "mpl", "cc-by-sa", "cc-by-nc", "lgpl"] and {out[k] for k in range(6, 12)} == {"unknown"}
+
+
 def test_no_python_runs_on_executors(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     plan = licences.scan(docs, licences.fit(docs))._jdf.queryExecution().toString()
