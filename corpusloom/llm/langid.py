@@ -8,28 +8,38 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import table
 
-#: Bounds of the labelled sample: rows a language, and bytes of a row.
-SAMPLE_ROWS, SAMPLE_BYTES = 240, 16_384
-#: Hidden units a direction, sequences a step, steps, and the longest sequence in bytes.
-HIDDEN, BATCH, STEPS, LONGEST = 16, 512, 220, 24
-#: Bytes of text handled at once, and words in a task's cache.
-PIECE, CACHE_WORDS = 1 << 21, 300_000
+#: Bounds of the labelled sample: rows a language, and characters of an excerpt of each, at a place that its id chooses.
+SAMPLE_ROWS, SAMPLE_CHARS = 240, 4_096
+#: Hidden units a direction, sequences a step, steps, and bytes of a sequence when training.
+HIDDEN, BATCH, STEPS, TRAIN_BYTES = 16, 384, 240, 40
+#: Bytes of a sequence when reading, and sequences read at once; widths they are padded to.
+READ_BYTES, WIDE, WIDTHS = 128, 1024, (16, 32, 64, 96, 128)
+#: Bytes of text handled at once, and the least score with which the pipeline keeps a text.
+PIECE, LEAST = 1 << 21, 0.3
 LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
 #: Bytes whose positions count: ASCII letters and all of multi-byte characters.
 COUNTS = np.array([b >= 128 or chr(b).isalpha() for b in range(256)])
 
 
-def sequences(word: bytes) -> list[bytes]:
-    """The byte sequences a word is read as: white space on either side, cut at LONGEST bytes."""
-    word = b" " + word + b" "
-    return [word] if len(word) <= LONGEST else [word[i : i + LONGEST] for i in range(0, len(word), LONGEST)]
+def cuts(raw: np.ndarray, begin: np.ndarray, end: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, lengths and owners of the sequences of at most longest bytes that texts [begin, end) of raw are read as, one after another; they end between characters."""
+    step = longest - 3
+    n = -(-(end - begin) // step)
+    of = np.repeat(np.arange(len(begin)), n)
+    start = begin[of] + (np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)) * step
+    inner = start > begin[of]
+    for _ in range(3):
+        start = start - (inner & ((raw[start] & 0xC0) == 0x80))
+    stop = np.r_[start[1:], 0]
+    stop = np.where(np.r_[of[1:] != of[:-1], True], end[of], stop) if len(of) else stop[:0]
+    return start, stop - start, of
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -99,13 +109,15 @@ class Network:
             out |= {"u" + d: du, "x" + d: dx}
         return out
 
-    def fit(self, words: list[bytes], label: np.ndarray, steps: int = STEPS, batch: int = BATCH, rate: float = 0.02, seed: int = 7) -> Network:
-        """Adam over batches of equally long sequences, drawn by how often each length occurs."""
+    def fit(self, texts: list[bytes], label: np.ndarray, steps: int = STEPS, batch: int = BATCH, rate: float = 0.02, seed: int = 7) -> Network:
+        """Adam over batches of equally long sequences of texts, drawn by how often each length occurs."""
         by, rng = defaultdict(list), np.random.default_rng(seed)
-        for w, y in zip(words, label, strict=True):
-            for s in sequences(w):
-                by[len(s)].append((s, y))
-        groups = [(np.frombuffer(b"".join(s for s, _ in g), np.uint8).reshape(len(g), n), np.array([y for _, y in g])) for n, g in sorted(by.items())]
+        raw, size = np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts], np.int64)
+        start, n, of = cuts(raw, np.cumsum(size) - size, np.cumsum(size), TRAIN_BYTES)
+        for length in np.unique(n):
+            own = np.flatnonzero(n == length)
+            by[int(length)] = (raw[start[own][:, None] + np.arange(length)], label[of[own]])
+        groups = list(by.values())
         share = np.array([len(y) for _, y in groups], float)
         m, v = ({k: np.zeros_like(x) for k, x in self.w.items()} for _ in range(2))
         for i in range(1, steps + 1 if groups else 1):
@@ -118,76 +130,95 @@ class Network:
                 self.w[k] -= (now * (m[k] / (1 - 0.9**i)) / (np.sqrt(v[k] / (1 - 0.99**i)) + 1e-8)).astype(np.float32)
         return self
 
-    def pooled(self, words: list[bytes]) -> np.ndarray:
-        """For each word the sums of its positions' probabilities and, last, how many positions counted."""
-        out, by = np.zeros((len(words), len(self.labels) + 1)), defaultdict(list)
-        for k, w in enumerate(words):
-            for s in sequences(w):
-                by[len(s)].append((k, s))
-        for n, g in by.items():
-            for at in range(0, len(g), 4096):
-                part = g[at : at + 4096]
-                codes = np.frombuffer(b"".join(s for _, s in part), np.uint8).reshape(len(part), n)
-                p, c = self.positions(codes), COUNTS[codes].T
-                sums = np.concatenate([(p * c[:, :, None]).sum(axis=0), c.sum(axis=0)[:, None]], axis=1)
-                np.add.at(out, [k for k, _ in part], sums)
-        return out
+    def sums(self, codes: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """For sequences codes [T, B] of size bytes, zeros after them: the sums of counted positions' probabilities and, last, their number.
+
+        The same as positions, laid out so that all arithmetic runs along the sequences.
+        """
+        n, width, (t_, b_) = self.hidden, len(self.labels), codes.shape
+        states = []
+        live = np.arange(t_)[:, None] < size
+        for d in "fb":
+            x, u = np.ascontiguousarray(self.w["x" + d].T), np.ascontiguousarray(self.w["u" + d].T)
+            out, g, hu = np.empty((t_, n, b_), np.float32), np.empty((3 * n, b_), np.float32), np.empty((3 * n, b_), np.float32)
+            before = np.zeros((n, b_), np.float32)
+            for t in range(t_) if d == "f" else range(t_ - 1, -1, -1):
+                np.take(x, codes[t], axis=1, out=g, mode="clip")
+                np.dot(u, before, out=hu)
+                zr, new = hu[: 2 * n], hu[2 * n :]
+                zr += g[: 2 * n]
+                zr *= 0.5
+                np.tanh(zr, out=zr)
+                zr *= 0.5
+                zr += 0.5
+                new *= zr[n:]
+                new += g[2 * n :]
+                np.tanh(new, out=new)
+                h = out[t]
+                np.subtract(before, new, out=h)
+                h *= zr[:n]
+                h += new
+                if d == "b":
+                    h *= live[t]  # the reading from the right begins at each sequence's end
+                before = h
+            states.append(out)
+        o = np.ascontiguousarray(self.w["o"].T)
+        total = np.zeros((width + 1, b_))
+        for t in range(t_):
+            e = o[:, :n] @ states[0][t] + o[:, n:] @ states[1][t] + self.w["c"][:, None]
+            e -= e.max(axis=0)
+            np.exp(e, out=e)
+            c = COUNTS[codes[t]] & live[t]
+            e *= c / e.sum(axis=0)
+            total[:-1] += e
+            total[-1] += c
+        return total.T
 
 
 class Scorer:
-    """Scores texts; the pooled sums of words met before come from a bounded cache, so each distinct word is read once."""
-
-    def __init__(self, net: Network, cache_words: int = CACHE_WORDS):
-        self.net, self.cache_words = net, cache_words
-        self.at: dict[bytes, int] = {}
-        self.sums = np.zeros((0, len(net.labels) + 1))
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.at) > self.cache_words:
-            self.at, self.sums = {}, self.sums[:0]
-        if new := sorted(words - self.at.keys()):
-            base = len(self.sums)
-            self.sums = np.concatenate([self.sums, self.net.pooled(new)])
-            self.at.update(zip(new, range(base, base + len(new)), strict=True))
+    """Scores texts: all bytes are read, as sequences of READ_BYTES that cross word borders, and probabilities are pooled over each text."""
+
+    def __init__(self, net: Network):
+        self.net = net
+
+    def pooled(self, raws: list[bytes]) -> np.ndarray:
+        """Of each text the sums of its counted positions' probabilities and, last, their number."""
+        out = np.zeros((len(raws), len(self.net.labels) + 1))
+        size = np.array([len(r) for r in raws], np.int64)
+        raw = np.frombuffer(b"".join([*raws, bytes(READ_BYTES)]), np.uint8)
+        start, n, of = cuts(raw, np.cumsum(size) - size, np.cumsum(size), READ_BYTES)
+        low = 0
+        for width in WIDTHS:
+            own = np.flatnonzero((n > low) & (n <= width))
+            low = width
+            for k in (own[i : i + WIDE] for i in range(0, len(own), WIDE)):
+                at = np.arange(width)[:, None]
+                codes = np.where(at < n[k], raw[np.minimum(start[k] + at, len(raw) - 1)], np.uint8(0))
+                np.add.at(out, of[k], self.net.sums(codes, n[k]))
+        return out
 
     def score(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        out: list[tuple[str, float]] = []
-        held: list[list] = []
+        found = [bool(self.net.labels) and LETTER.search(t or "") is not None for t in texts]
+        sums = np.zeros((len(texts), len(self.net.labels) + 1))
+        held: list[tuple[int, bytes]] = []
         size = 0
-        for text in [*texts, ""]:
-            raw = (text or "").encode()
-            cuts = [0]  # a very long text is read in parts, cut after white space
-            while len(raw) - cuts[-1] > PIECE:
-                m = regex.search(rb"\s", raw, pos=cuts[-1] + PIECE)
-                cuts.append(m.end() if m else len(raw))
-            found = bool(self.net.labels) and LETTER.search(text or "") is not None
-            held.append([found, np.zeros(len(self.net.labels) + 1)])
-            for a, b in zip(cuts, [*cuts[1:], len(raw)], strict=True):
-                if found:
-                    held.append([None, raw[a:b].split()])
-                    size += b - a
-                if size > PIECE:
-                    self._settle(held, out, False)
-                    size = 0
-        self._settle(held, out, True)
-        return out[: len(texts)]
-
-    def _settle(self, held: list, out: list, last: bool) -> None:
-        self.learn({w for kind, words in held if kind is None for w in words})
-        doc = None
-        for row in held:
-            if row[0] is None:
-                doc[1] += self.sums[list(map(self.at.__getitem__, row[1]))].sum(axis=0)
-            else:
-                if doc is not None:
-                    out.append(self._one(doc))
-                doc = row
-        held[:] = [] if last else [doc]
-        if last:
-            out.append(self._one(doc))
-
-    def _one(self, doc: list) -> tuple[str, float]:
-        found, sums = doc
+        for k, text in enumerate(texts):
+            if found[k]:
+                raw = text.encode()
+                for a in range(0, len(raw), PIECE):  # a very long text is read in parts
+                    held.append((k, raw[a : a + PIECE]))
+                    size += len(held[-1][1])
+                    if size >= PIECE:
+                        self._add(sums, held)
+                        held, size = [], 0
+        self._add(sums, held)
+        return [self._one(f, s) for f, s in zip(found, sums, strict=True)]
+
+    def _add(self, sums: np.ndarray, held: list[tuple[int, bytes]]) -> None:
+        if held:
+            np.add.at(sums, [k for k, _ in held], self.pooled([r for _, r in held]))
+
+    def _one(self, found: bool, sums: np.ndarray) -> tuple[str, float]:
         if not found or not sums[-1]:
             return UNKNOWN, 0.0
         p = sums[:-1] / sums[-1]
@@ -199,30 +230,37 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Network:
-    """A network fitted on the driver to at most sample_rows labelled rows a language, those with the smallest hash of
-    their doc_id among the rows of at most sample_bytes bytes that are not held out."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    known = docs.select("doc_id", "lang", "text").filter(~held_out() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") <= sample_bytes))
-    # rows are chosen by their ids alone, so no text is shuffled
-    picked = known.select("doc_id", "lang").distinct().withColumn("k", F.row_number().over(order)).filter(F.col("k") <= sample_rows)
-    rows = known.join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "k", "text").collect()
-    rows.sort(key=lambda r: (r.lang, r.k, r.text))
-    labels = sorted({r.lang for r in rows})
-    words, y = [], []
-    for r in rows:
-        w = [x for x in r.text.encode().split() if COUNTS[np.frombuffer(x, np.uint8)].any()][:400]
-        words += w
-        y += [labels.index(r.lang)] * len(w)
+def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> Network:
+    """A network fitted on the driver to excerpts of at most sample_chars characters of at most sample_rows labelled rows a language.
+
+    Rows are those with the smallest hash of their doc_id that are not held out; which share of the hashes is needed follows from a language's count of rows, so no
+    task gathers a language. An excerpt begins where the id chooses; a text that is no longer is taken whole. Rows without text, lang or doc_id take no part.
+    """
+    known = docs.select("doc_id", "lang", "text").filter(~held_out() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    # a margin of a half and of some rows, so that the smallest sample_rows hashes are among them
+    need = {x: min(1 << 40, int((1.5 * sample_rows + 50) / n * (1 << 40))) for x, n in counts.items()}
+    if not need:
+        return Network([])
+    bound = F.create_map(*(F.lit(v) for x in sorted(need) for v in (x, need[x])))
+    start = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1).cast("int") + 1
+    rows = known.filter(draw <= F.element_at(bound, F.col("lang"))).select("lang", draw.alias("k"), "doc_id", F.substring("text", start, F.lit(sample_chars)).alias("text")).collect()
+    by: dict[str, list] = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.k, r.doc_id, r.text)):
+        if len(by[r.lang]) < sample_rows:
+            by[r.lang].append(r.text.encode())
+    labels = sorted(by)
     net = Network(labels)
-    return net.fit(words, np.array(y)) if len(labels) > 1 else net
+    return net.fit([t for x in labels for t in by[x]], np.repeat(np.arange(len(labels)), [len(by[x]) for x in labels])) if len(labels) > 1 else net
 
 
 def identify(docs: DataFrame, net: Network) -> DataFrame:
     """docs with lang_pred and score for every row's whole text; docs needs a text column, its others are kept.
 
     A null text, or one without any letter, is und with score 0, as is everything if nothing was learnt. The score is the mean probability of
-    the predicted label over all counted positions. Columns of docs named lang_pred or score are replaced.
+    the predicted label over all counted positions; of equal probabilities the label first in order wins. doc_id plays no part, so it may be null or repeated; an empty table gives
+    no rows. Columns of docs named lang_pred or score are replaced.
     """
     docs = docs.drop("lang_pred", "score")
     names = docs.columns
@@ -236,13 +274,17 @@ def identify(docs: DataFrame, net: Network) -> DataFrame:
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
 
 
-def accept(docs: DataFrame, net: Network) -> DataFrame:
-    """The rows of docs, all columns as they are, whose text has a language; rows found und go."""
+def accept(docs: DataFrame, net: Network, least: float = LEAST) -> DataFrame:
+    """The rows of docs, all columns as they are, whose text has a language: rows found und go, and so do those whose label has a score below least.
+
+    Of four languages read in equal parts each gives 0.25, a text of one language about 0.99, single words 0.3 to 0.6.
+    """
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(net)
         for b in batches:
-            yield b.filter(pa.array([x != UNKNOWN for x, _ in scorer.score(b.column("text").to_pylist())], pa.bool_()))
+            yield b.filter(pa.array([x != UNKNOWN and p >= least for x, p in scorer.score(b.column(at).to_pylist())], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

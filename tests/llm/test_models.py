@@ -49,12 +49,46 @@ def test_language(spark):
 
 
 def test_parts_of_long_texts(monkeypatch):
+    """Long texts are read in parts: the same labels and nearly the same scores."""
     net = langid.Network(["a", "b"])
     text = " ".join("".join(random.Random(i).choices("abcé", k=5)) for i in range(2000))
     whole = langid.Scorer(net).score([text, "x", None, text])
-    monkeypatch.setattr(langid, "PIECE", 100)
-    parts = langid.Scorer(net, cache_words=50).score([text, "x", None, text])
-    assert [p[0] for p in parts] == [w[0] for w in whole] and np.allclose([p[1] for p in parts], [w[1] for w in whole], atol=2e-6)
+    monkeypatch.setattr(langid, "PIECE", 3000)
+    parts = langid.Scorer(net).score([text, "x", None, text])
+    assert [p[0] for p in parts] == [w[0] for w in whole] and np.allclose([p[1] for p in parts], [w[1] for w in whole], atol=2e-2)
+
+
+def test_sums_agree_with_positions():
+    net, rng = langid.Network(["a", "b", "c"], hidden=5), np.random.default_rng(2)
+    codes, size = rng.integers(60, 200, (7, 20)).astype(np.uint8), np.array([20, 20, 13, 1, 8, 20, 5])
+    padded = np.where(np.arange(20) < size[:, None], codes, 0)
+    got = net.sums(np.ascontiguousarray(padded.T), size)
+    for k, n in enumerate(size):
+        p, c = net.positions(codes[k : k + 1, :n])[:, 0], langid.COUNTS[codes[k, :n]]
+        assert np.allclose(got[k], np.r_[p[c].sum(axis=0), c.sum()], atol=1e-4)
+
+
+def test_cuts_are_between_characters():
+    texts = [("aé日😀" * 50).encode(), b"", b"x", "日".encode() * 100, b"y" * 300]
+    raw, size = np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts])
+    start, n, of = langid.cuts(raw, np.cumsum(size) - size, np.cumsum(size), 40)
+    parts = [[], [], [], [], []]
+    for s, m, k in zip(start, n, of, strict=True):
+        assert 0 < m <= 40
+        parts[k].append(raw[s : s + m].tobytes().decode().encode())
+    assert [b"".join(p) for p in parts] == texts
+
+
+def test_texts_without_blanks_and_of_two_languages(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    net = langid.train(docs)
+    rows = docs.filter("lang in ('en', 'de') and n_chars > 400").orderBy("doc_id").limit(40).collect()
+    joined = [(r.lang, r.text.replace(" ", "")) for r in rows]
+    got = langid.Scorer(net).score([t for _, t in joined])
+    assert np.mean([p[0] == x for p, (x, _) in zip(got, joined, strict=True)]) > 0.8
+    one = {x: next(r.text for r in rows if r.lang == x)[:400] for x in ("en", "de")}
+    mixed, pure = langid.Scorer(net).score([one["en"] + " " + one["de"], one["en"]])
+    assert mixed[0] in ("en", "de") and mixed[1] < pure[1]
 
 
 def test_statistics_in_parts(monkeypatch):
