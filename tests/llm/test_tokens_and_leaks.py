@@ -142,6 +142,27 @@ def test_pipeline(spark):
     assert corpus_pipeline.run(spark, sf_dir).count() == n
 
 
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Nulls in every column, repeated rows, clashing columns, very long texts and an empty table."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    long = "Ein sehr langer Text mit vielen Wörtern und noch einem Satz. " * 4000
+    odd = [(None, "A text of its own without an id, which nobody else has written in this way.", None, None, None), (None, None, None, None, None), (7_000_001, None, "en", "x", 0), (7_000_002, "", "en", None, 0), (7_000_003, long, "de", "x", len(long)), (7_000_004, "1234 !!", None, "x", 7)]
+    odd += [(7_000_005, "Twice the same row with some plain words in it.", "en", "x", 47)] * 2
+    schema = docs.schema
+    more = docs.limit(150).union(spark.createDataFrame([tuple(r) for r in odd], schema))
+    for name in ("_chunk", "_doc", "lang_pred", "fp", "row"):
+        more = more.withColumn(name, more["n_chars"])
+    spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
+    more.write.parquet(str(tmp_path / "documents.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ids = [r.doc_id for r in got]
+    assert ids.count(None) == 1 and 7_000_003 in ids and not {7_000_001, 7_000_002, 7_000_004} & set(ids)
+    assert len(got) > 60
+    more.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    spark.read.parquet(str(tmp_path / "benchmark.parquet")).write.parquet(str(tmp_path / "none" / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_registered():
     import __spark_entry__ as entry
 
