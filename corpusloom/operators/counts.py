@@ -82,10 +82,14 @@ def retained(scored: DataFrame, known: DataFrame | None = None, min_g2: float =
 
 
 def contexts(lines: DataFrame, words: DataFrame) -> DataFrame:
-    """(tok, k, digest, line): for each tok of words (tok, size) the lines with the smallest digests, a line once a word."""
+    """(tok, k, digest, line): for each tok of words (tok, size) the lines with the smallest digests, a line once a word.
+
+    The largest size is known first, so that every task keeps no more lines of a word than that before any are shuffled.
+    """
+    most = words.agg(F.max("size")).first()[0] or 0
     rows = lines.select("line", F.explode(F.array_distinct(T.tokens(F.lower("line")))).alias("tok")).join(words, "tok").withColumn("digest", T.digest("tok", "line"))
     order = Window.partitionBy("tok").orderBy("digest", "line")
-    return rows.withColumn("k", F.row_number().over(order)).filter("k <= size").select("tok", "k", "digest", "line")
+    return rows.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= most).filter("k <= size").select("tok", "k", "digest", "line")
 
 
 def per_million(counts: DataFrame, total: DataFrame) -> DataFrame:

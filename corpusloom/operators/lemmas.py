@@ -75,24 +75,31 @@ def conventions(lemmas: DataFrame, known: DataFrame, contractions: list[str] = (
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """df with its lineage cut in the shared checkpoint folder; a temporary one only where none is set, as in tests."""
+    """df with its lineage cut in the shared checkpoint folder; without one it is an error on a cluster, and a temporary folder on one machine."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
     return df.checkpoint()
 
 
-def closure(redirects: DataFrame, rounds: int = 5) -> DataFrame:
+def closure(redirects: DataFrame) -> DataFrame:
     """(src, dst, final) of redirects (src, dst), a function: where each chain ends; on a cycle, at the smallest word of the whole path walked.
 
-    Pointer doubling: a round joins the relation with itself, so 2^rounds steps are followed; lineage is cut in the shared folder.
+    Pointer doubling: a round joins the relation with itself, so each doubles the steps that are followed. Rounds end when no pointer moves or, as those on cycles
+    always do, when as many steps as there are redirects have been followed. Lineage is cut in the shared folder.
     """
     redirects = settled(redirects.filter("src != dst"))
-    # at: where 2^k steps lead; least: the smallest word met on the way
+    n, steps = redirects.count(), 1
+    # at: where steps lead; least: the smallest word met on the way
     step = redirects.select("src", F.col("dst").alias("at"), F.least("src", "dst").alias("least"))
-    for _ in range(rounds):
+    while steps <= n:
         ahead = step.select(F.col("src").alias("at"), F.col("at").alias("_at"), F.col("least").alias("_least"))
-        step = step.join(ahead, "at", "left").select("src", F.coalesce("_at", "at").alias("at"), F.least("least", F.coalesce("_least", "least")).alias("least")).checkpoint()
+        step = step.join(ahead, "at", "left").select("src", F.coalesce("_at", "at").alias("at"), F.least("least", F.coalesce("_least", "least")).alias("least"), F.col("_at").isNotNull().alias("moved")).checkpoint()
+        if step.filter("moved").isEmpty():
+            break
+        steps *= 2
     # an end that redirects further lies on a cycle
     ends = step.join(redirects.select(F.col("src").alias("at"), F.lit(True).alias("_more")), "at", "left")
     final = ends.select("src", F.when(F.col("_more"), F.col("least")).otherwise(F.col("at")).alias("final"))

@@ -34,11 +34,11 @@ def query(sql: str | None = None):
 
 
 WORD_SQL = r"\p{L}+(?:[-''’]\p{L}+)*"
-BASE = rf"""lines as (select doc_id, lang, unnest(range(len(l))) as line_no, unnest(l) as line from (select doc_id, lang, string_split(text, chr(10)) as l from documents)),
-toks as (select doc_id, lang, line_no, unnest(range(1, len(t) + 1)) as p, unnest(t) as tok from (select doc_id, lang, line_no, regexp_extract_all(lower(line), '{WORD_SQL}') as t from lines)),
-uni as (select tok, count(*) as n from toks group by tok),
-dict as (select distinct unnest(regexp_extract_all(lower(text), '{WORD_SQL}')) as tok from benchmark),
-bi as (select a.tok as l, b.tok as r, count(*) as n from toks a join toks b on a.doc_id = b.doc_id and a.line_no = b.line_no and b.p = a.p + 1 group by all)"""
+BASE = rf"""lines as materialized (select doc_id, lang, unnest(range(len(l))) as line_no, unnest(l) as line from (select doc_id, lang, string_split(text, chr(10)) as l from documents)),
+toks as materialized (select doc_id, lang, line_no, unnest(range(1, len(t) + 1)) as p, unnest(t) as tok from (select doc_id, lang, line_no, regexp_extract_all(lower(line), '{WORD_SQL}') as t from lines)),
+uni as materialized (select tok, count(*) as n from toks group by tok),
+dict as materialized (select distinct unnest(regexp_extract_all(lower(text), '{WORD_SQL}')) as tok from benchmark),
+bi as materialized (select a.tok as l, b.tok as r, count(*) as n from toks a join toks b on a.doc_id = b.doc_id and a.line_no = b.line_no and b.p = a.p + 1 group by all)"""
 
 
 def docs(spark: SparkSession, d: str) -> DataFrame:
@@ -200,9 +200,10 @@ def top_types_limit(spark, d):
     return uni(spark, d).orderBy(F.desc("count"), "tok").limit(2000).withColumn("big", F.col("count") >= 1000)
 
 
-@query("select line_no, count(*) as n from (select * from lines where doc_id < 200 union all select * from lines where false) where line_no < 3 group by line_no")
+@query("select doc_id, line_no, line from lines order by doc_id, line_no limit 1000")
 def prefix_lines(spark, d):
-    return lines(spark, d).filter("doc_id < 200 and line_no < 3").groupBy(F.col("line_no").cast("long").alias("line_no")).agg(F.count("*").alias("n"))
+    """The first lines of the corpus in the order of documents; the prefix is the feature."""
+    return lines(spark, d).orderBy("doc_id", "line_no").limit(1000).select("doc_id", F.col("line_no").cast("long").alias("line_no"), "line")
 
 
 # -- dictionary, lemmas and votes ---------------------------------------------------------------------------------------
@@ -362,9 +363,19 @@ QUERIES["lemma_closure"] = lemma_closure
 SQL["lemma_closure"] = f"with recursive {BASE}, {P}, red as (select tok as src, lemma as dst from pri where lemma <> tok and lemma in (select tok from uni)), walk as (select src, dst as node, 1 as step from red union all select w.src, r.dst, step + 1 from walk w join red r on r.src = w.node where step < 32) select src, red.dst, node as final from (select src, node, row_number() over (partition by src order by step desc) as k from walk) join red using (src) where k = 1"
 
 
-@query("select tok, unnest(range(2, length(tok) + 1)) as at from uni where false union all select tok, 0 from uni where contains(tok, 'ct') or contains(tok, 'pt') or contains(tok, 'cç') or contains(tok, 'pç') or contains(tok, 'éi') or contains(tok, 'ói') or contains(tok, 'ôo') or contains(tok, 'êe')")
+_places = ", ".join(f"list_transform(list_filter(range(1, len(tok) + 1), lambda i: substr(tok, i, 2) = '{a}'), lambda i: substr(tok, 1, i - 1) || '{b}' || substr(tok, i + 2))" for a, b in T.REFORM[:4])
+_full = "tok"
+for _a, _b in T.REFORM:
+    _full = f"replace({_full}, '{_a}', '{_b}')"
+_accents = ", ".join(f"replace(tok, '{a}', '{b}')" for a, b in T.REFORM[4:])
+
+
+@query(f"select tok, candidate, candidate in (from dict) as known from (select distinct tok, unnest(flatten([[{_full}, {_accents}], {_places}])) as candidate from uni) where candidate <> tok")
 def spelling_reform_words(spark, d):
-    return uni(spark, d).filter(F.size(T.reform_candidates(F.col("tok"))) > 0).select("tok", F.lit(0).cast("long").alias("at"))
+    """Every candidate spelling of every word, and whether the dictionary has it."""
+    rows = uni(spark, d).select("tok", F.explode(T.reform_candidates(F.col("tok"))).alias("candidate"))
+    own = known(spark, d).select(F.col("tok").alias("candidate"), F.lit(True).alias("known"))
+    return rows.join(own, "candidate", "left").select("tok", "candidate", F.coalesce("known", F.lit(False)).alias("known"))
 
 
 @query(rf"select tok, regexp_extract(tok, '{T.DIMINUTIVE}', 1) as base, case when tok like '%s' and length(tok) > 3 then left(tok, length(tok) - 1) else tok end as headword from uni where regexp_matches(tok, '{T.DIMINUTIVE}')")
@@ -386,7 +397,7 @@ QUERIES["convention_summary"] = convention_summary
 
 @query("select tok as lemma, n as count from uni where tok not in ('the', 'et', 'und', 'de', 'els', 'nte')")
 def exclusion_anti(spark, d):
-    return FL.excluded(_lemma_counts(spark, d), ["the", "et", "und", "de", "sur", "éls", "nte"], ["sur"]).filter("lemma != 'els'")
+    return FL.excluded(_lemma_counts(spark, d), ["the", "et", "und", "de", "sur", "éls", "nte"], ["sur"])
 
 
 @query("select tok, n as count from uni anti join dict using (tok) where length(tok) <= 2 and tok not in ('oh', 'ah')")

@@ -179,3 +179,11 @@ def test_names_and_escapes(spark):
     assert rows(E.name_shares(lines, known, ["k"]).select("k", "name_share")) == [(1, 1 / 6), (2, 0.0), (3, 0.0)]
     got = spark.createDataFrame([("a\\u00e3o \\u00zz x",), ("plain",)], "t string").coalesce(1).select(T.decode_escapes(F.col("t"))).collect()
     assert [r[0] for r in got] == ["aão \\u00zz x", "plain"]
+
+
+def test_closure_of_long_chains_and_cycles(spark):
+    chain = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(70)]
+    cycle = [("c1", "c2"), ("c2", "c3"), ("c3", "c1"), ("x", "c2")]
+    got = {r.src: r.final for r in L.closure(spark.createDataFrame(chain + cycle, "src string, dst string")).collect()}
+    assert all(got[a] == "n070" for a, _ in chain) and {got[a] for a, _ in cycle} == {"c1"}
+    assert L.closure(spark.createDataFrame([], "src string, dst string")).count() == 0
