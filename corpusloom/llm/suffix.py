@@ -229,10 +229,12 @@ class Chunk:
             whole = np.r_[np.zeros(len(calm), bool), np.ones(len(w), bool)]
         else:
             whole = np.zeros(len(at), bool)
-        col = at[:, None] + np.arange(-LEFT, SPAN)
-        inside = (col >= begin[:, None]) & (col < end[:, None])
-        ctx = np.zeros(col.shape, np.uint8)
-        ctx[inside] = self.sym[col[inside]]
+        ctx, inside = np.zeros((len(at), WIDE), np.uint8), np.zeros((len(at), WIDE), bool)
+        for k in range(0, len(at), SLICE):
+            own = slice(k, k + SLICE)
+            col = at[own, None] + np.arange(-LEFT, SPAN)
+            inside[own] = (col >= begin[own, None]) & (col < end[own, None])
+            ctx[own] = self.sym[np.clip(col, 0, len(self.sym) - 1)] * inside[own]
         self.at, self.of_doc = at, doc
         gram = mix_bytes(ctx[:, LEFT : LEFT + GRAM])
         body = mix_bytes(ctx)
@@ -241,7 +243,8 @@ class Chunk:
         order = np.lexsort((doc, body, gram, b))
         new = np.r_[True, (body[order][1:] != body[order][:-1]) | (gram[order][1:] != gram[order][:-1])] if len(order) else np.zeros(0, bool)
         rep = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-        if not ((ctx[order] == ctx[rep]).all() and (inside[order] == inside[rep]).all()):
+        pairs = ((order[k : k + SLICE], rep[k : k + SLICE]) for k in range(0, len(order), SLICE))
+        if not all((ctx[x] == ctx[y]).all() and (inside[x] == inside[y]).all() for x, y in pairs):
             # hashes collided: by the bytes themselves
             body = np.unique(np.concatenate([ctx, inside.view(np.uint8)], axis=1), axis=0, return_inverse=True)[1].ravel()
             order = np.lexsort((doc, body, gram, b))
@@ -300,8 +303,7 @@ def _dedup(docs: DataFrame, finish, schema, hot: int = HOT, **sizes) -> DataFram
             left, right = c.inside[s:e, :LEFT].sum(axis=1).astype(np.uint8), c.inside[s:e, LEFT:].sum(axis=1).astype(np.uint8)
             for hot_, kind in ((False, -1), (True, plan.part(c.id))):
                 if len(k := np.flatnonzero(c.hot[s:e] == hot_)):
-                    head = np.stack([c.owner[s + k], left[k], right[k], np.full(len(k), c.id), k]).astype(np.int64)
-                    out.append((kind, c.id, int(c.bucket[s]), c.ctx[s + k].tobytes(), head.tobytes()))
+                    out.append((kind, c.id, int(c.bucket[s]), c.ctx[s + k].tobytes(), _head(c.owner[s + k], k, left[k], right[k])))
         return packed(out)
 
     def cut(docs_: pa.Table, replies: pa.Table) -> pa.Table:
@@ -326,21 +328,29 @@ def _dedup(docs: DataFrame, finish, schema, hot: int = HOT, **sizes) -> DataFram
     return meet(copies.union(counted).union(parts.filter("kind = 4")).union(whole), cut, schema)
 
 
+def _head(doc: np.ndarray, index: np.ndarray, left: np.ndarray, right: np.ndarray) -> bytes:
+    """What goes with the contexts of one chunk, 14 bytes each."""
+    return b"".join(x.astype(t).tobytes() for x, t in ((doc, np.int64), (index, np.int32), (left, np.uint8), (right, np.uint8)))
+
+
 def _meet(part: bool, rows_: pa.Table) -> pa.Table:
     """Contexts that meet in a bucket, of one part or of all, to masks for their chunks (4 and 5).
 
     Of a part, contexts with windows that are first in it go on to the whole bucket (9).
     """
-    rows = rows_.to_pylist()
-    raw = np.concatenate([np.frombuffer(r["data"], np.uint8).reshape(-1, WIDE) for r in rows])
-    doc, left, right, chunk, index = np.concatenate([np.frombuffer(r["more"], np.int64).reshape(5, -1) for r in rows], axis=1)
-    mask, out = resolve(raw, left.astype(np.uint8), right.astype(np.uint8), doc), []
-    order = np.lexsort((index, chunk))
-    order = order[mask[order] > 0]
-    for k in np.split(order, np.flatnonzero(np.diff(chunk[order])) + 1) if len(order) else []:
-        out.append((4 if part else 5, int(chunk[k[0]]), rows[0]["bucket"], mask[k].tobytes(), index[k].tobytes()))
-    if part and len(k := np.flatnonzero(mask != possible(left, right))):
-        out.append((9, rows[0]["kind"], rows[0]["bucket"], raw[k].tobytes(), np.stack([doc[k], left[k], right[k], chunk[k], index[k]]).tobytes()))
+    rows = rows_.drop(["data"]).to_pylist()
+    n = [len(r["more"]) // 14 for r in rows]
+    raw = np.frombuffer(b"".join(rows_["data"].to_pylist()), np.uint8).reshape(-1, WIDE)
+    doc, index, left, right = (np.concatenate([np.frombuffer(r["more"], t, m, k * m) for r, m in zip(rows, n, strict=True)]) for t, k in ((np.int64, 0), (np.int32, 8), (np.uint8, 12), (np.uint8, 13)))
+    mask, out, at = resolve(raw, left, right, doc), [], 0
+    full = possible(left, right)
+    for r, m in zip(rows, n, strict=True):
+        own = slice(at, at + m)
+        at += m
+        if len(k := np.flatnonzero(mask[own])):
+            out.append((4 if part else 5, r["chunk"], r["bucket"], mask[own][k].tobytes(), index[own][k].astype(np.int64).tobytes()))
+        if part and len(k := np.flatnonzero(mask[own] != full[own])):
+            out.append((9, r["chunk"], r["bucket"], raw[own][k].tobytes(), _head(doc[own][k], index[own][k], left[own][k], right[own][k])))
     return packed(out)
 
 
