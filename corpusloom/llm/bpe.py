@@ -15,6 +15,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import KEPT, by_batches, table
+
 #: Fixed value: the split pattern of the vocabulary file's pre-tokenizer, and the same over ASCII.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
@@ -147,14 +149,11 @@ class Encoder:
                 self.ids[w] = array("I", ids).tobytes()
 
 
-#: The encoder that this worker's tasks share.
-_ENCODER: list[Encoder] = []
-
-
 def encoder(vocabulary: Vocabulary) -> Encoder:
-    if not _ENCODER or _ENCODER[0].v.digest != vocabulary.digest:
-        _ENCODER[:] = [Encoder(vocabulary)]
-    return _ENCODER[0]
+    """The encoder that this worker's tasks share until another operator runs in it."""
+    if "bpe" not in KEPT or KEPT["bpe"].v.digest != vocabulary.digest:
+        KEPT["bpe"] = Encoder(vocabulary)
+    return KEPT["bpe"]
 
 
 def pieces(text: str, size: int = PIECE) -> Iterator[str]:
@@ -222,12 +221,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, with_ids: bool = False) -> D
                 group.append((state, None))
         yield settle()
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(by_batches(run, "bpe"), schema)
 
 
 def op9_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    from .common import table
-
     return encode(table(spark, sf_dir, "documents"), Vocabulary(public_tokenizers.path("word_bpe_49k.json")))

@@ -12,6 +12,7 @@ become one, and then as a whole; neither meeting has more than about the square
 
 from __future__ import annotations
 
+from functools import partial
 from math import isqrt
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, unused
+from .common import by_group, by_groups, text_bytes, unused
 
 #: Name of the column that tells a document's chunk, unless the documents have one of that name.
 CHUNK = "_chunk"
@@ -194,8 +195,8 @@ def _told(asks: pa.Table, codes_: pa.Table) -> pa.Table:
 
 def counts(asks: DataFrame, hot: int) -> DataFrame:
     """Codes for the entries that chunks asked about, for the chunks."""
-    top = asks.groupBy("bucket", "kind").applyInArrow(_merged, PACKED).groupBy("bucket").applyInArrow(lambda t: _counted(t, hot), PACKED)
-    return asks.groupBy("bucket", "kind").cogroup(top.groupBy("bucket", "kind")).applyInArrow(_told, PACKED)
+    top = asks.groupBy("bucket", "kind").applyInArrow(by_group(_merged), PACKED).groupBy("bucket").applyInArrow(by_group(partial(_counted, hot=hot)), PACKED)
+    return asks.groupBy("bucket", "kind").cogroup(top.groupBy("bucket", "kind")).applyInArrow(by_groups(_told), PACKED)
 
 
 def codes(entries: Entries, replies: list[dict], buckets: int) -> np.ndarray:

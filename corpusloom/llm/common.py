@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,60 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: What a Python worker keeps from task to task, by operator.
+KEPT: dict[str, object] = {}
+#: Bytes of a group's rows from which memory is given back after it; smaller groups leave that to the next large one.
+LARGE = 1 << 20
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; other systems go without
+
+
+def release(keep: str = "") -> None:
+    """Give back to the system what is free, and drop what other operators than keep kept.
+
+    A Python worker serves tasks of many stages, and the allocators hold what one of them needed at its peak; so executors would come to hold the sum of the peaks.
+    """
+    for name in KEPT.keys() - {keep}:
+        del KEPT[name]
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def by_batches(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keep: str = "") -> Callable:
+    """f for mapInArrow; memory is given back before and after each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(keep)
+        yield from f(batches)
+        release(keep)
+
+    return run
+
+
+def by_group(f: Callable[[pa.Table], pa.Table]) -> Callable:
+    """f for applyInArrow of a group; memory is given back after large ones."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        out = f(rows)
+        if rows.nbytes >= LARGE:
+            release()
+        return out
+
+    return run
+
+
+def by_groups(f: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable:
+    """f for applyInArrow of two groups; memory is given back after large ones."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = f(left, right)
+        if left.nbytes + right.nbytes >= LARGE:
+            release()
+        return out
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import BASE, PACKED, Entries, Plan, bucket_of, codes, counts, gram_hashes, mix, packed
-from .common import table
+from .common import by_group, by_groups, table
 
 #: Words of a removed window and of the anchors; words of the references of one automaton.
 SPAN, GRAM, SHARD_WORDS = 20, 8, 60_000
@@ -304,12 +305,12 @@ def repeats(docs: DataFrame, hot: int | None = None, **sizes) -> DataFrame:
         return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 5, types, strict=True)], names=[x.split()[0] for x in OUT.split(", ")])
 
     def meet(replies: DataFrame, f, schema: str) -> DataFrame:
-        return chunked.groupBy(plan.name).cogroup(replies.groupBy("chunk")).applyInArrow(f, schema)
+        return chunked.groupBy(plan.name).cogroup(replies.groupBy("chunk")).applyInArrow(by_groups(f), schema)
 
-    counted = counts(chunked.groupBy(plan.name).applyInArrow(first, PACKED), plan.fan if hot is None else hot)
+    counted = counts(chunked.groupBy(plan.name).applyInArrow(by_group(first), PACKED), plan.fan if hot is None else hot)
     asked = meet(counted, ask, PACKED)
-    parts = asked.filter("kind >= 0").groupBy("bucket", "kind").applyInArrow(lambda t: _meet(True, t), PACKED)
-    whole = asked.filter("kind < 0").union(parts.filter("kind = 9")).groupBy("bucket").applyInArrow(lambda t: _meet(False, t), PACKED)
+    parts = asked.filter("kind >= 0").groupBy("bucket", "kind").applyInArrow(by_group(partial(_meet, True)), PACKED)
+    whole = asked.filter("kind < 0").union(parts.filter("kind = 9")).groupBy("bucket").applyInArrow(by_group(partial(_meet, False)), PACKED)
     return meet(counted.union(parts.filter("kind = 7")).union(whole), cut, OUT)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import PACKED, Entries, Plan, anchors, bucket_of, codes, counts, mix, packed, power
-from .common import table
+from .common import by_group, by_groups, table
 
 #: Bytes of a removed string, of the anchors, and what a context has before and after an anchor's start.
 SPAN, GRAM = 50, 20
@@ -319,12 +320,12 @@ def _dedup(docs: DataFrame, finish, schema, hot: int = HOT, **sizes) -> DataFram
         return finish(c, rows, docs_.drop([plan.name]))
 
     def meet(replies: DataFrame, f, schema_) -> DataFrame:
-        return chunked.groupBy(plan.name).cogroup(replies.groupBy("chunk")).applyInArrow(f, schema_)
+        return chunked.groupBy(plan.name).cogroup(replies.groupBy("chunk")).applyInArrow(by_groups(f), schema_)
 
     counted = counts(meet(copies, ask, PACKED), hot)
     sent = meet(copies.union(counted), send, PACKED)
-    parts = sent.filter("kind >= 0").groupBy("bucket", "kind").applyInArrow(lambda t: _meet(True, t), PACKED)
-    whole = sent.filter("kind < 0").union(parts.filter("kind = 9")).groupBy("bucket").applyInArrow(lambda t: _meet(False, t), PACKED)
+    parts = sent.filter("kind >= 0").groupBy("bucket", "kind").applyInArrow(by_group(partial(_meet, True)), PACKED)
+    whole = sent.filter("kind < 0").union(parts.filter("kind = 9")).groupBy("bucket").applyInArrow(by_group(partial(_meet, False)), PACKED)
     return meet(copies.union(counted).union(parts.filter("kind = 4")).union(whole), cut, schema)
 
 
