@@ -169,3 +169,12 @@ def test_registered():
     names = entry.queries()
     assert {re.match(r"op\d+_", k)[0] for k in names if k.startswith("op")} == {f"op{k}_" for k in range(1, 11)} and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
+
+
+def test_workers_keep_only_what_the_running_operator_kept():
+    from corpusloom.llm import common
+
+    common.KEPT.update(bpe=1, other=2)
+    assert list(common.by_batches(iter, "bpe")([3, 4])) == [3, 4] and common.KEPT == {"bpe": 1}
+    common.release()
+    assert not common.KEPT
