@@ -15,7 +15,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import KEPT, by_batches, table
+from .common import KEPT, arrow_map, table
 
 #: Fixed value: the split pattern of the vocabulary file's pre-tokenizer, and the same over ASCII.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -221,7 +221,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, with_ids: bool = False) -> D
                 group.append((state, None))
         yield settle()
 
-    return docs.select("doc_id", "text").mapInArrow(by_batches(run, "bpe"), schema)
+    return arrow_map(docs.select("doc_id", "text"), run, schema, "bpe")
 
 
 def op9_bpe(spark, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import by_batches, checkpoint
+from .common import arrow_map, checkpoint
 
 #: Rows and bytes of one block, and rows and bytes held at once.
 BLOCK, BLOCK_BYTES, HELD, HELD_BYTES = 4096, 8 << 20, 1 << 16, 32 << 20
@@ -154,6 +154,6 @@ def block_pairs(blocks: DataFrame, also: str = "true", extra: tuple[str, ...] =
 
 def links(rows: DataFrame, join: Join, block: int = BLOCK) -> DataFrame:
     """(g, u, v, w): what join finds between rows (g, id, data) of one g, none of them null."""
-    found = checkpoint(rows.select("g", "id", "data").repartitionByRange("g", "id").sortWithinPartitions("g", "id").mapInArrow(by_batches(partial(_within, join, block)), OUT))
+    found = checkpoint(arrow_map(rows.select("g", "id", "data").repartitionByRange("g", "id").sortWithinPartitions("g", "id"), partial(_within, join, block), OUT))
     pairs = block_pairs(found.filter("part is not null").select("g", "part", "seq", "ids", "data")).select("g", "ids", "data", "ids2", "data2")
-    return found.filter("u is not null").select("g", "u", "v", "w").union(pairs.mapInArrow(by_batches(partial(_across, join)), LINKS))
+    return found.filter("u is not null").select("g", "u", "v", "w").union(arrow_map(pairs, partial(_across, join), LINKS))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_group, by_groups, text_bytes, unused
+from .common import bound_batches, by_group, by_groups, text_bytes, unused
 
 #: Name of the column that tells a document's chunk, unless the documents have one of that name.
 CHUNK = "_chunk"
@@ -100,6 +100,7 @@ class Plan:
     """Numbers of chunks and buckets for an input."""
 
     def __init__(self, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES):
+        bound_batches(docs.sparkSession)
         total = text_bytes(docs)
         self.chunks, self.buckets = max(1, -(-total // chunk_bytes)), max(1, -(-total // bucket_bytes))
         self.fan = max(FAN, isqrt(self.chunks))

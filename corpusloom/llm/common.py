@@ -16,6 +16,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: What a Python worker keeps from task to task, by operator.
 KEPT: dict[str, object] = {}
+#: Spark's setting for the bytes of a batch that goes to a Python worker, and its value here.
+BATCH_BYTES, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 #: Bytes of a group's rows from which memory is given back after it; smaller groups leave that to the next large one.
 LARGE = 1 << 20
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; other systems go without
@@ -44,6 +46,21 @@ def by_batches(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
     return run
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let batches for Python workers hold about BATCH bytes, at least a row; a bound that the session has is left.
+
+    Spark bounds them by rows first, and ten thousand whole texts are tens of megabytes, held by the JVM and by the worker.
+    """
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, BATCH)
+
+
+def arrow_map(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, keep: str = "") -> DataFrame:
+    """df.mapInArrow of f, in bounded batches."""
+    bound_batches(df.sparkSession)
+    return df.mapInArrow(by_batches(f, keep), schema)
+
+
 def by_group(f: Callable[[pa.Table], pa.Table]) -> Callable:
     """f for applyInArrow of a group; memory is given back after large ones."""
 

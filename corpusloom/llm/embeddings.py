@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .buckets import binaries, forest, links, near_bits
 from .chunks import mix
-from .common import checkpoint, table
+from .common import arrow_map, checkpoint, table
 from .components import connected_components
 
 #: Cosine from which two vectors link; tables and sign bits a table. Two vectors at the threshold agree in a bit with probability
@@ -112,9 +112,9 @@ def near_vectors(rows: DataFrame) -> DataFrame:
     # classes have numbers of their own, for rows of one vec_id may hold several vectors
     classes = base.filter("fine").groupBy("k1", "k2").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("vec").alias("vec"))
     classes = checkpoint(classes.withColumn("id", F.monotonically_increasing_id()))
-    near = links(classes.select("id", "label", "vec").mapInArrow(_deal, "g long, id long, data binary"), partial(near_bits, FEW))
+    near = links(arrow_map(classes.select("id", "label", "vec"), _deal, "g long, id long, data binary"), partial(near_bits, FEW))
     asked = near.select("g", F.explode(F.array("u", "v")).alias("id")).distinct()
-    packed = asked.join(classes, "id").select("g", "id", "n", "label", "vec").mapInArrow(_pack, "g long, id long, data binary")
+    packed = arrow_map(asked.join(classes, "id").select("g", "id", "n", "label", "vec"), _pack, "g long, id long, data binary")
     found = checkpoint(links(packed, partial(near_cosines, COSINE), CHUNK))
     comp = checkpoint(connected_components(found.filter("u != v").select("u", "v")).withColumnRenamed("node", "id"))
     least = comp.join(classes.select("id", "node"), "id").groupBy("component").agg(F.min("node").alias("component_id"))

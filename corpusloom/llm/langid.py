@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import by_batches, table
+from .common import arrow_map, table
 
 #: Bounds of the labelled sample: rows a language, and characters of an excerpt of each, at a place that its id chooses.
 SAMPLE_ROWS, SAMPLE_CHARS = 240, 4_096
@@ -271,7 +271,7 @@ def identify(docs: DataFrame, net: Network) -> DataFrame:
             found = scorer.score(b.column(names.index("text")).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=[*names, "lang_pred", "score"])
 
-    return docs.mapInArrow(by_batches(run), StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+    return arrow_map(docs, run, StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
 
 
 def accept(docs: DataFrame, net: Network, least: float = LEAST) -> DataFrame:
@@ -286,7 +286,7 @@ def accept(docs: DataFrame, net: Network, least: float = LEAST) -> DataFrame:
         for b in batches:
             yield b.filter(pa.array([x != UNKNOWN and p >= least for x, p in scorer.score(b.column(at).to_pylist())], pa.bool_()))
 
-    return docs.mapInArrow(by_batches(run), docs.schema)
+    return arrow_map(docs, run, docs.schema)
 
 
 def op4_langid(spark, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import table
+from .common import arrow_map, table
 
 #: Labelled rows that a model is fitted to at most, by smallest hash of doc_id.
 SAMPLE_ROWS = 20_000
@@ -79,7 +79,7 @@ def measured(docs: DataFrame, prefix: str = "", keep: bool = True) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in fields), *(pa.array(c) for c in found.T)], names=[f.name for f in schema.fields])
 
     schema = StructType([*fields, *(StructField(prefix + k, DoubleType()) for k in STATISTICS)])
-    return docs.mapInArrow(run, schema)
+    return arrow_map(docs, run, schema)
 
 
 def held_out() -> Column:

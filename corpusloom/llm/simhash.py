@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
 from .buckets import block_pairs, forest
-from .common import checkpoint, table
+from .common import arrow_map, checkpoint, table
 from .components import connected_components
 
 #: Words a shingle, seed of its hash, and differing bits that still link.
@@ -51,7 +51,7 @@ def fingerprints(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataF
             fp = np.array([simhash(t.as_py(), width, seed) for t in b.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fp)], names=["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, fp long")
 
 
 def trie_join(fp: np.ndarray, lo, hi, lo2=None, hi2=None, budget: int = BUDGET) -> tuple[np.ndarray, np.ndarray]:
@@ -183,9 +183,9 @@ def near_links(classes: DataFrame, budget: int = BUDGET) -> DataFrame:
     keys = [(fields[i] + fields[j] * (1 << 13) + F.lit(k << 26)) for k, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2))]
     # the sign is turned so that signed order is the order of the unsigned values
     rows = classes.select(F.explode(F.array(*keys)).alias("g"), F.col("fp").bitwiseXOR(F.lit(-(1 << 63))).alias("fp"), F.col("node").alias("id"))
-    found = checkpoint(rows.repartitionByRange("g", "fp").sortWithinPartitions("g", "fp").mapInArrow(_within, OUT))
+    found = checkpoint(arrow_map(rows.repartitionByRange("g", "fp").sortWithinPartitions("g", "fp"), _within, OUT))
     pairs = block_pairs(found.filter("g is not null").select(*NAMES[2:]), f"bit_count((low ^ low2) & (mask & mask2)) <= {budget}", ("low", "mask"))
-    return found.filter("u is not null").select("u", "v").union(pairs.select("fps", "ids", "fps2", "ids2").mapInArrow(_across, "u long, v long"))
+    return found.filter("u is not null").select("u", "v").union(arrow_map(pairs.select("fps", "ids", "fps2", "ids2"), _across, "u long, v long"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

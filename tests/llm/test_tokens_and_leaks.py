@@ -6,11 +6,12 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from corpusloom.llm import bpe, decontaminate
+from corpusloom.llm import bpe, common, decontaminate
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = "aAbTthe'sS''llve  \n\t\x0b\x1c\x1f\x85\xa0éÉßΣσςİıǅ²½٣日本ｱé​😀!!..12<|endoftext|>"
@@ -172,9 +173,19 @@ def test_registered():
 
 
 def test_workers_keep_only_what_the_running_operator_kept():
-    from corpusloom.llm import common
-
     common.KEPT.update(bpe=1, other=2)
     assert list(common.by_batches(iter, "bpe")([3, 4])) == [3, 4] and common.KEPT == {"bpe": 1}
     common.release()
     assert not common.KEPT
+
+
+def test_batches_for_workers_are_bounded_by_bytes(spark):
+    had = spark.conf.get(common.BATCH_BYTES, None)
+    try:
+        spark.conf.set(common.BATCH_BYTES, "32k")  # a bound of the session's own stays
+        rows = spark.range(0, 200, 1, 1).selectExpr("id as doc_id", "repeat('word ', 1000) as text")
+        sizes = [r.n for r in common.arrow_map(rows, lambda batches: (pa.record_batch({"n": [b.num_rows]}) for b in batches), "n long").collect()]
+        assert sum(sizes) == 200 and max(sizes) < 20
+        assert spark.conf.get(common.BATCH_BYTES) == "32k"
+    finally:
+        spark.conf.set(common.BATCH_BYTES, had or common.BATCH)
