@@ -16,8 +16,12 @@ from .common import by_group, by_groups, table
 #: Bytes of a removed string, of the anchors, and what a context has before and after an anchor's start.
 SPAN, GRAM = 50, 20
 LEFT, WIDE = SPAN - GRAM, 2 * SPAN - GRAM
-#: Chunks with an anchor beyond which its windows are dealt out one by one; contexts sorted at once.
-HOT, SLICE = 1024, 20_000
+#: Chunks with an anchor beyond which its contexts are dealt by HALF bytes more before or after it, different contexts of such a longer gram beyond which
+#: its windows are dealt out one by one, and contexts sorted at once.
+HOT, CROWD, SLICE = 1024, 100_000, 20_000
+#: A window has HALF bytes before the anchor (EARLY) or at least as many after it (LATE): the windows that a context dealt by either finds.
+HALF = LEFT // 2
+EARLY, LATE = np.uint32((1 << LEFT + 1) - (1 << HALF)), np.uint32((1 << HALF) - 1)
 OUT = "doc_id long, text_hash string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans binary"
 
 
@@ -213,23 +217,16 @@ class Chunk:
 
     def contexts(self, buckets: int) -> None:
         """Distinct contexts of the repeated anchors in order of bucket and hash: ctx, owner (their smallest doc) and bucket;
-        and each occurrence's context (of), anchor and doc. A very common anchor has a context for each window instead."""
+        and each occurrence's context (of), anchor and doc. Those of a very common anchor are there twice, dealt by what is before the anchor and after it."""
         code = codes(self.entries, self.replies, buckets)[self.entries.entry]
-        pick = np.flatnonzero(code)
-        at, doc, row, code = self.entries.at[pick], self.doc[pick], self.row[pick], code[pick]
+        pick, side = np.flatnonzero(code), code[code > 0] - 1
+        pick, side = np.r_[pick, pick[side > 0]], np.r_[side, np.full(int((side > 0).sum()), 2, np.uint8)]
+        at, doc, row = self.entries.at[pick], self.doc[pick], self.row[pick]
         begin, end = self.start[row], self.start[row + 1]
-        hot = np.flatnonzero(code == 2)
-        if len(hot):  # windows: anchors of their own, with nothing before and SPAN bytes after
-            w = (at[hot][:, None] - np.arange(LEFT + 1)).ravel()
-            src = np.repeat(hot, LEFT + 1)
-            fits = (w >= begin[src]) & (w + SPAN <= end[src])
-            w, src = w[fits], src[fits]
-            calm = np.flatnonzero(code == 1)
-            at, doc = np.r_[at[calm], w], np.r_[doc[calm], doc[src]]
-            begin, end = np.r_[begin[calm], w], np.r_[end[calm], w + SPAN]
-            whole = np.r_[np.zeros(len(calm), bool), np.ones(len(w), bool)]
-        else:
-            whole = np.zeros(len(at), bool)
+        if side.any():
+            full = possible(np.minimum(at - begin, LEFT), np.minimum(end - at, SPAN))
+            has = (full & sides(side)) > 0
+            at, doc, begin, end, side = at[has], doc[has], begin[has], end[has], side[has]
         ctx, inside = np.zeros((len(at), WIDE), np.uint8), np.zeros((len(at), WIDE), bool)
         for k in range(0, len(at), SLICE):
             own = slice(k, k + SLICE)
@@ -239,21 +236,21 @@ class Chunk:
         self.at, self.of_doc = at, doc
         gram = mix_bytes(ctx[:, LEFT : LEFT + GRAM])
         body = mix_bytes(ctx)
-        body = mix(body * np.uint64(3) + inside.sum(axis=1).astype(np.uint64) * power(7) + (at - begin).clip(0, LEFT).astype(np.uint64))
-        b = bucket_of(np.where(whole, body, gram), buckets).astype(np.int64)
+        body = mix(body * np.uint64(3) + inside.sum(axis=1).astype(np.uint64) * power(7) + (at - begin).clip(0, LEFT).astype(np.uint64) + side * power(9))
+        b = bucket_of(np.where(side > 0, longer(ctx, side), gram), buckets).astype(np.int64)
         order = np.lexsort((doc, body, gram, b))
         new = np.r_[True, (body[order][1:] != body[order][:-1]) | (gram[order][1:] != gram[order][:-1])] if len(order) else np.zeros(0, bool)
         rep = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
         pairs = ((order[k : k + SLICE], rep[k : k + SLICE]) for k in range(0, len(order), SLICE))
-        if not all((ctx[x] == ctx[y]).all() and (inside[x] == inside[y]).all() for x, y in pairs):
+        if not all((ctx[x] == ctx[y]).all() and (inside[x] == inside[y]).all() and (side[x] == side[y]).all() for x, y in pairs):
             # hashes collided: by the bytes themselves
-            body = np.unique(np.concatenate([ctx, inside.view(np.uint8)], axis=1), axis=0, return_inverse=True)[1].ravel()
+            body = np.unique(np.concatenate([ctx, inside.view(np.uint8), side[:, None]], axis=1), axis=0, return_inverse=True)[1].ravel()
             order = np.lexsort((doc, body, gram, b))
             new = np.r_[True, (body[order][1:] != body[order][:-1]) | (gram[order][1:] != gram[order][:-1]) | (b[order][1:] != b[order][:-1])]
         first = order[new]
         self.of = np.empty(len(at), np.int64)
         self.of[order] = np.cumsum(new) - 1
-        self.ctx, self.inside, self.owner, self.bucket, self.hot = ctx[first], inside[first], doc[first], b[first], whole[first]
+        self.ctx, self.inside, self.owner, self.bucket, self.side = ctx[first], inside[first], doc[first], b[first], side[first]
         self.cut = np.flatnonzero(np.r_[True, self.bucket[1:] != self.bucket[:-1], True]) if len(first) else np.zeros(1, np.int64)
 
     def removed(self) -> np.ndarray:
@@ -261,7 +258,8 @@ class Chunk:
         mask = np.zeros(len(self.ctx), np.uint32)
         begin = dict(zip(self.bucket[self.cut[:-1]].tolist(), self.cut[:-1].tolist(), strict=True))
         for r in self.masks:
-            mask[begin[r["bucket"]] + np.frombuffer(r["more"], np.int64)] |= np.frombuffer(r["data"], np.uint32)
+            # windows that met one by one name their context once each
+            np.bitwise_or.at(mask, begin[r["bucket"]] + np.frombuffer(r["more"], np.int64), np.frombuffer(r["data"], np.uint32))
         full = possible(self.inside[:, :LEFT].sum(axis=1), self.inside[:, LEFT:].sum(axis=1))
         # the owner has what the mask says; later documents of the chunk have all that the owner has
         mine = np.where(self.of_doc > self.owner[self.of], full[self.of], mask[self.of])
@@ -273,6 +271,16 @@ class Chunk:
         return np.cumsum(edge, dtype=np.int32)[: len(self.sym)] > 0
 
 
+def sides(side: np.ndarray) -> np.ndarray:
+    """Masks of the windows that contexts find by their side: 0 the anchor (all), 1 what is before it, 2 what is after it."""
+    return np.array([EARLY | LATE, EARLY, LATE])[side]
+
+
+def longer(ctx: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Hashes of the anchors with HALF bytes more on their side."""
+    return mix(np.where(side == 1, mix_bytes(ctx[:, LEFT - HALF : LEFT + GRAM]), mix_bytes(ctx[:, LEFT : LEFT + GRAM + HALF])) + side)
+
+
 def mix_bytes(rows: np.ndarray) -> np.ndarray:
     out = np.zeros(len(rows), np.uint64)
     for j in range(rows.shape[1]):
@@ -280,7 +288,7 @@ def mix_bytes(rows: np.ndarray) -> np.ndarray:
     return mix(out)
 
 
-def _dedup(docs: DataFrame, finish, schema, hot: int = HOT, **sizes) -> DataFrame:
+def _dedup(docs: DataFrame, finish, schema, hot: int = HOT, crowd: int = CROWD, **sizes) -> DataFrame:
     """finish (of a Chunk, by row: the bytes that go or None for none; and the table of its rows) over all chunks of docs."""
     plan = Plan(docs, **sizes)
     chunked = plan.chunked(docs)
@@ -303,8 +311,8 @@ def _dedup(docs: DataFrame, finish, schema, hot: int = HOT, **sizes) -> DataFram
         for s, e in zip(c.cut[:-1], c.cut[1:], strict=True):
             left, right = c.inside[s:e, :LEFT].sum(axis=1).astype(np.uint8), c.inside[s:e, LEFT:].sum(axis=1).astype(np.uint8)
             for hot_, kind in ((False, -1), (True, plan.part(c.id))):
-                if len(k := np.flatnonzero(c.hot[s:e] == hot_)):
-                    out.append((kind, c.id, int(c.bucket[s]), c.ctx[s + k].tobytes(), _head(c.owner[s + k], k, left[k], right[k])))
+                if len(k := np.flatnonzero((c.side[s:e] > 0) == hot_)):
+                    out.append((kind, c.id, int(c.bucket[s]), c.ctx[s + k].tobytes(), _head(c.owner[s + k], k, left[k], right[k], c.side[s + k])))
         return packed(out)
 
     def cut(docs_: pa.Table, replies: pa.Table) -> pa.Table:
@@ -324,37 +332,118 @@ def _dedup(docs: DataFrame, finish, schema, hot: int = HOT, **sizes) -> DataFram
 
     counted = counts(meet(copies, ask, PACKED), hot)
     sent = meet(copies.union(counted), send, PACKED)
-    parts = sent.filter("kind >= 0").groupBy("bucket", "kind").applyInArrow(by_group(partial(_meet, True)), PACKED)
-    whole = sent.filter("kind < 0").union(parts.filter("kind = 9")).groupBy("bucket").applyInArrow(by_group(partial(_meet, False)), PACKED)
-    return meet(copies.union(counted).union(parts.filter("kind = 4")).union(whole), cut, schema)
+    parts = sent.filter("kind >= 0").groupBy("bucket", "kind").applyInArrow(by_group(_meet_part), PACKED)
+    full = parts.filter(f"kind = {TALLY}").groupBy("bucket").applyInArrow(by_group(partial(_crowded, crowd)), PACKED)
+    dealt = parts.filter(f"kind >= {PART}").groupBy("bucket", "kind").cogroup(full.groupBy("bucket", "kind")).applyInArrow(by_groups(partial(_deal, buckets)), PACKED)
+    whole = sent.filter("kind < 0").union(dealt.filter(f"kind = {CONTEXT}")).groupBy("bucket").applyInArrow(by_group(_meet), PACKED)
+    single = dealt.filter(f"kind = {WINDOW}").groupBy("bucket").applyInArrow(by_group(_meet_windows), PACKED)
+    return meet(copies.union(counted).union(parts.filter("kind = 4")).union(whole).union(single), cut, schema)
 
 
-def _head(doc: np.ndarray, index: np.ndarray, left: np.ndarray, right: np.ndarray) -> bytes:
-    """What goes with the contexts of one chunk, 14 bytes each."""
-    return b"".join(x.astype(t).tobytes() for x, t in ((doc, np.int64), (index, np.int32), (left, np.uint8), (right, np.uint8)))
+#: Kinds of rows on their way from a part: how many contexts its longer grams have, contexts and windows that go on to all parts; those of part k are PART + k.
+TALLY, CONTEXT, WINDOW, PART = 6, 9, 7, 16
 
 
-def _meet(part: bool, rows_: pa.Table) -> pa.Table:
-    """Contexts that meet in a bucket, of one part or of all, to masks for their chunks (4 and 5).
+def _head(doc: np.ndarray, index: np.ndarray, left: np.ndarray, right: np.ndarray, side: np.ndarray) -> bytes:
+    """What goes with the contexts of one chunk, 14 bytes each; the side lies above the five bits of left."""
+    return b"".join(x.astype(t).tobytes() for x, t in ((doc, np.int64), (index, np.int32), (left | (side << 5), np.uint8), (right, np.uint8)))
 
-    Of a part, contexts with windows that are first in it go on to the whole bucket (9).
-    """
+
+def _contexts(rows_: pa.Table) -> tuple:
+    """Rows without their data, their numbers of contexts, and of all contexts: raw, doc, index, left, right, side."""
     rows = rows_.drop(["data"]).to_pylist()
     n = [len(r["more"]) // 14 for r in rows]
     raw = np.frombuffer(b"".join(rows_["data"].to_pylist()), np.uint8).reshape(-1, WIDE)
     doc, index, left, right = (np.concatenate([np.frombuffer(r["more"], t, m, k * m) for r, m in zip(rows, n, strict=True)]) for t, k in ((np.int64, 0), (np.int32, 8), (np.uint8, 12), (np.uint8, 13)))
-    mask, out, at = resolve(raw, left, right, doc), [], 0
-    full = possible(left, right)
+    return rows, n, raw, doc, index, left & np.uint8(31), right, left >> np.uint8(5)
+
+
+def _masks(rows: list[dict], n: list[int], mask: np.ndarray, index: np.ndarray, kind: int) -> list[tuple]:
+    """Rows for the chunks: masks that are not empty and the places of their contexts."""
+    out, at = [], 0
     for r, m in zip(rows, n, strict=True):
         own = slice(at, at + m)
         at += m
         if len(k := np.flatnonzero(mask[own])):
-            out.append((4 if part else 5, r["chunk"], r["bucket"], mask[own][k].tobytes(), index[own][k].astype(np.int64).tobytes()))
-        if part and len(k := np.flatnonzero(mask[own] != full[own])):
-            out.append((9, r["chunk"], r["bucket"], raw[own][k].tobytes(), _head(doc[own][k], index[own][k], left[own][k], right[own][k])))
+            out.append((kind, r["chunk"], r["bucket"], mask[own][k].tobytes(), index[own][k].astype(np.int64).tobytes()))
+    return out
+
+
+def _meet(rows_: pa.Table) -> pa.Table:
+    """Contexts that meet in a bucket to masks for their chunks (5)."""
+    rows, n, raw, doc, index, left, right, _ = _contexts(rows_)
+    return packed(_masks(rows, n, resolve(raw, left, right, doc), index, 5))
+
+
+def _meet_part(rows_: pa.Table) -> pa.Table:
+    """Contexts of very common anchors that meet in a part of a bucket to masks for their chunks (4).
+
+    Those with windows that are first in the part and that their side finds go on, and the bucket is told how many each longer gram has.
+    """
+    rows, n, raw, doc, index, left, right, side = _contexts(rows_)
+    mask = resolve(raw, left, right, doc)
+    out, at, more = _masks(rows, n, mask, index, 4), 0, (possible(left, right) & ~mask & sides(side)) > 0
+    for r, m in zip(rows, n, strict=True):
+        if len(k := at + np.flatnonzero(more[at : at + m])):
+            out.append((PART + r["kind"], r["chunk"], r["bucket"], raw[k].tobytes(), _head(doc[k], index[k], left[k], right[k], side[k])))
+        at += m
+    if more.any():
+        key, size = np.unique(longer(raw[more], side[more]), return_counts=True)
+        out.append((TALLY, rows[0]["kind"], rows[0]["bucket"], key.tobytes(), size.astype(np.int32).tobytes()))
     return packed(out)
 
 
+def _crowded(crowd: int, tallies: pa.Table) -> pa.Table:
+    """The longer grams of a bucket with more than crowd contexts, for each part."""
+    rows = tallies.to_pylist()
+    own, of = np.unique(np.concatenate([np.frombuffer(r["data"], np.uint64) for r in rows]), return_inverse=True)
+    size = np.bincount(of, weights=np.concatenate([np.frombuffer(r["more"], np.int32) for r in rows]), minlength=len(own))
+    big = own[size > crowd].tobytes()
+    return packed([(PART + r["chunk"], 0, r["bucket"], big, None) for r in rows] if big else [])
+
+
+def _deal(buckets: int, rows_: pa.Table, full: pa.Table) -> pa.Table:
+    """Contexts of a part for the whole bucket, or, if their longer gram is crowded, their windows for the buckets of these."""
+    if not len(rows_):
+        return packed([])
+    big = np.frombuffer(b"".join(full["data"].to_pylist()), np.uint64)
+    rows, n, raw, doc, index, left, right, side = _contexts(rows_)
+    of, out, at = np.isin(longer(raw, side), big), [], 0
+    for r, m in zip(rows, n, strict=True):
+        k = at + np.flatnonzero(~of[at : at + m])
+        if len(k):
+            out.append((CONTEXT, r["chunk"], r["bucket"], raw[k].tobytes(), _head(doc[k], index[k], left[k], right[k], side[k])))
+        k = at + np.flatnonzero(of[at : at + m])
+        at += m
+        for a in range(0, len(k), SLICE // LEFT):
+            own = k[a : a + SLICE // LEFT]
+            at_, j = np.nonzero((possible(left[own], right[own]) & sides(side[own]))[:, None] >> np.arange(LEFT + 1, dtype=np.uint32) & np.uint32(1))
+            src = own[at_]
+            win = np.lib.stride_tricks.sliding_window_view(raw, SPAN, axis=1)[src, LEFT - j]
+            b = bucket_of(mix_bytes(win), buckets).astype(np.int64)
+            order = np.argsort(b, kind="stable")
+            cut = np.flatnonzero(np.r_[True, b[order][1:] != b[order][:-1], True]) if len(b) else [0]
+            for s, e in zip(cut[:-1], cut[1:], strict=True):
+                o = order[s:e]
+                head = b"".join(x.astype(t).tobytes() for x, t in ((doc[src[o]], np.int64), (index[src[o]], np.int32), (j[o], np.int32)))
+                out.append((WINDOW, r["chunk"], int(b[o[0]]), win[o].tobytes(), np.int64(r["bucket"]).tobytes() + head))
+    return packed(out)
+
+
+def _meet_windows(rows_: pa.Table) -> pa.Table:
+    """Windows that meet one by one, as contexts with nothing before the anchor, to masks for their chunks (5)."""
+    rows = rows_.drop(["data"]).to_pylist()
+    n = [(len(r["more"]) - 8) // 16 for r in rows]
+    win = np.frombuffer(b"".join(rows_["data"].to_pylist()), np.uint8).reshape(-1, SPAN)
+    doc, index, j = (np.concatenate([np.frombuffer(r["more"], t, m, 8 + k * m) for r, m in zip(rows, n, strict=True)]) for t, k in ((np.int64, 0), (np.int32, 8), (np.int32, 12)))
+    raw = np.zeros((len(win), WIDE), np.uint8)
+    raw[:, LEFT:] = win
+    mask = resolve(raw, np.zeros(len(win), np.uint8), np.full(len(win), SPAN, np.uint8), doc) << j.astype(np.uint32)
+    for r in rows:
+        r["bucket"] = int(np.frombuffer(r["more"], np.int64, 1)[0])
+    return packed(_masks(rows, n, mask, index, 5))
+
+
 def runs(gone: np.ndarray | None) -> np.ndarray:
     """Starts and ends [n, 2] of the runs of bytes that go."""
     return np.zeros((0, 2), np.int64) if gone is None else np.flatnonzero(np.diff(np.r_[0, gone.view(np.int8), 0])).reshape(-1, 2)

@@ -201,3 +201,26 @@ def test_word_hashes():
     turn = np.flatnonzero(inside[1:] != inside[:-1])
     h = substrings.word_hashes(buf, turn[::2], turn[1::2])
     assert h[0] == h[3] and len(set(h[:4].tolist())) == 3 and len(set(h[4:].tolist())) == 1 and h[4] != h[1]
+
+
+def test_common_anchors_cost_two_contexts(monkeypatch):
+    """An anchor in very many chunks sends its context twice, not once a window."""
+    text = "".join(random.Random(3).choices("abcdefgh ", k=4000))
+    docs, none = pa.table({"c": [0], "doc_id": [1], "text": [text]}), pa.table({"kind": pa.array([], pa.int32()), "chunk": [], "bucket": [], "data": [], "more": []})
+    c = suffix.Chunk(docs, none, "c")
+    monkeypatch.setattr(suffix, "codes", lambda *x: np.full(len(c.entries.hash), 2, np.uint8))
+    c.contexts(5)
+    assert len(c.entries.at) < len(c.ctx) <= 2 * len(c.entries.at)
+    found = np.zeros(len(text), np.int64)  # by window, the sides that find it
+    for at, mask in zip(c.at, (suffix.possible(c.inside[:, : suffix.LEFT].sum(axis=1), c.inside[:, suffix.LEFT :].sum(axis=1)) & suffix.sides(c.side))[c.of], strict=True):
+        found[at - np.flatnonzero(mask >> np.arange(suffix.LEFT + 1, dtype=np.uint32) & 1)] += 1
+    assert (found[: len(text) - suffix.SPAN + 1] > 0).all() and not found[len(text) - suffix.SPAN + 1 :].any()
+
+
+@pytest.mark.parametrize("sizes", [{"hot": 0, "crowd": 0}, {"hot": 0, "crowd": 3}, {"hot": 2, "crowd": 1}])
+def test_bytes_of_crowded_anchors(spark, sizes):
+    """Very common anchors whose longer grams have many contexts, met part by part and window by window."""
+    rows = byte_rows()
+    docs = spark.createDataFrame(rows, DOCS)
+    got = sorted((tuple(r) for r in suffix.spans(docs, chunk_bytes=300, bucket_bytes=3000, **sizes).drop("text_hash", "spans").collect()), key=str)
+    assert got == brute_bytes(rows)
