@@ -2,9 +2,11 @@
 
 import random
 import zlib
+from collections import Counter
 from functools import partial
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 import corpus_pipeline
@@ -278,3 +280,32 @@ def test_near_copies_of_many_chunks():
             parts += list(zip(*((x + s).tolist() for x in join(g, data[s:e], [0], [e - s])[:2]), strict=True))
         parts += list(zip(*(x.tolist() for x in join(g, data, [0], [20], [20], [60])[:2]), strict=True))
         assert components_of(range(60), parts) == {i: 0 if i < 50 else i for i in range(60)}
+
+
+def test_near_copies_meet_by_their_simhashes():
+    """The bits of SimHashes alone key the buckets, and nearly all pairs of Jaccard 0.8 share one; tables grow wider with the rows."""
+    rng, pairs = random.Random(14), []
+    for _ in range(300):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        other = [*base[:357], *(f"w{rng.randrange(10**6)}" for _ in range(43))]
+        a, b = near_copies.shingles(" ".join(base)), near_copies.shingles(" ".join(other))
+        assert 0.8 <= near_copies.jaccard(a, b) < 0.82
+        pairs.append((near_copies.sketch(a).tobytes(), near_copies.sketch(b).tobytes()))
+    for n in (1000, 300_000):
+        places = near_copies.tables(n)
+        assert all(len(set(p)) == places.shape[1] for p in places.tolist())
+        batch = pa.RecordBatch.from_arrays([pa.array(range(600)), pa.array([s for p in pairs for s in p], pa.binary())], names=["id", "data"])
+        found = [(g, i // 2) for out in near_copies._deal(places, 0, iter([batch])) for g, i in zip(out["g"].to_pylist(), out["id"].to_pylist(), strict=True)]
+        met = {pair for (_, pair), m in Counter(found).items() if m == 2}
+        assert len(found) == 600 * len(places) and len(met) >= 297
+    assert near_copies.tables(1000).shape[1] < near_copies.tables(300_000).shape[1]
+
+
+def test_near_copies_link_groups_once():
+    """Rows of groups that are linked already give no link among themselves, and one between two groups."""
+    rng = np.random.default_rng(15)
+    bits = rng.integers(0, 1 << 63, near_copies.WORDS).astype(np.int64)
+    rows = [np.r_[bits ^ (np.int64(1) << np.int64(k % 60)), np.int64(7 if k < 40 else 9)].tobytes() for k in range(60)]
+    for label, n in ((rows[:40], 0), (rows, 1)):
+        u, v, _ = near_copies.near_others(near_copies.BUDGET, np.zeros(len(label), np.int64), label, [0], [len(label)])
+        assert len(u) == len(v) == n
