@@ -81,15 +81,34 @@ def retained(scored: DataFrame, known: DataFrame | None = None, min_g2: float =
     return out.select(F.concat_ws(" ", "left", "right").alias("mwe"), "left", "right", F.col("count").alias("raw_freq"), "g2", "share")
 
 
-def contexts(lines: DataFrame, words: DataFrame) -> DataFrame:
-    """(tok, k, digest, line): for each tok of words (tok, size) the lines with the smallest digests, a line once a word.
+# So many words of more than the least size are broadcast at most.
+BROADCAST_WORDS = 200_000
 
-    The largest size is known first, so that every task keeps no more lines of a word than that before any are shuffled.
+
+def contexts(lines: DataFrame, words: DataFrame | int) -> DataFrame:
+    """(tok, k, digest, line): for each tok of words (tok, size), or of all words if words is a size, the lines with the smallest digests, a line once a word.
+
+    A word goes with its digest and a hash of its line. Every task keeps no more of a word than its size before any are shuffled: words of more than the
+    least size and the others are limited apart, or all by the largest size where the former are too many to broadcast. Lines meet the hashes that are
+    left; the digest is made again then, so lines that share a hash are told apart.
     """
-    most = words.agg(F.max("size")).first()[0] or 0
-    rows = lines.select("line", F.explode(F.array_distinct(T.tokens(F.lower("line")))).alias("tok")).join(words, "tok").withColumn("digest", T.digest("tok", "line"))
-    order = Window.partitionBy("tok").orderBy("digest", "line")
-    return rows.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= most).filter("k <= size").select("tok", "k", "digest", "line")
+    toks = lines.select("line", F.explode(F.array_distinct(T.tokens(F.lower("line")))).alias("tok"))
+    order = Window.partitionBy("tok").orderBy("digest", "at")
+
+    def first(rows: DataFrame, n: int) -> DataFrame:
+        found = rows.select("tok", F.unhex(T.digest("tok", "line")).alias("digest"), F.xxhash64("line").alias("at"))
+        found = found.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= n)
+        return found if isinstance(words, int) else found.join(words, "tok").filter("k <= size").select("tok", "digest", "at", "k")
+
+    sizes = {words: 0} if isinstance(words, int) else dict(words.filter("size > 0").groupBy("size").count().collect())
+    least, most = min(sizes, default=0), max(sizes, default=0)
+    if least < most and sum(n for size, n in sizes.items() if size > least) <= BROADCAST_WORDS:
+        larger = F.broadcast(words.filter(F.col("size") > least).select("tok"))
+        kept = first(toks.join(larger, "tok", "left_semi"), most).union(first(toks.join(larger, "tok", "left_anti"), least))
+    else:
+        kept = first(toks, most)
+    texts = lines.filter("line != ''").groupBy(F.xxhash64("line").alias("at")).agg(F.collect_set("line").alias("same")).select("at", F.explode("same").alias("line"))
+    return kept.join(texts, "at").filter(F.col("digest") == F.unhex(T.digest("tok", "line"))).select("tok", "k", F.lower(F.hex("digest")).alias("digest"), "line")
 
 
 def per_million(counts: DataFrame, total: DataFrame) -> DataFrame:

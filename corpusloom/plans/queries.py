@@ -179,8 +179,7 @@ SQL["mwe_retained"] = f"with {BASE}, {G2} select l || ' ' || r as mwe, g.n as ra
 
 @query("select tok, k, digest, line from (select tok, line, digest, row_number() over (partition by tok order by digest, line) as k from (select distinct tok, doc_id, line_no, line, md5(tok || chr(31) || line) as digest from toks join lines using (doc_id, line_no))) where k <= 5")
 def context_bottom_k(spark, d):
-    ls = lines(spark, d)
-    return C.contexts(ls, C.unigrams(ls).select("tok", F.lit(5).alias("size"))).withColumn("k", F.col("k").cast("long"))
+    return C.contexts(lines(spark, d), 5).withColumn("k", F.col("k").cast("long"))
 
 
 @query("select tok, k, digest, line from (select tok, line, digest, row_number() over (partition by tok order by digest, line) as k from (select distinct tok, doc_id, line_no, line, md5(tok || chr(31) || line) as digest from toks join lines using (doc_id, line_no))) join uni using (tok) where k <= case when n >= 500 then 50 else 5 end and n >= 20")

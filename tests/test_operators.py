@@ -1,5 +1,7 @@
 """Operators on small frames."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,3 +189,17 @@ def test_closure_of_long_chains_and_cycles(spark):
     got = {r.src: r.final for r in L.closure(spark.createDataFrame(chain + cycle, "src string, dst string")).collect()}
     assert all(got[a] == "n070" for a, _ in chain) and {got[a] for a, _ in cycle} == {"c1"}
     assert L.closure(spark.createDataFrame([], "src string, dst string")).count() == 0
+
+
+def test_contexts_shuffle_no_line_with_its_words(spark):
+    """A line goes to its words by a hash: as a copy for each of its words, long lines filled the disk."""
+    lines = spark.createDataFrame([(" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 + k % 3)}" for i in range(200)),) for k in range(12)] + [("wa wa",)] * 3 + [("",), (None,)], "line string")
+    words = spark.createDataFrame([("wab", 2), ("wac", 1), ("wa", 4), ("none", 3)], "tok string, size int")
+    both = [C.contexts(lines, words), C.contexts(lines, words.withColumn("size", F.lit(4)))]
+    for found in both:
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in plan.splitlines() if " Sort [tok" in x and "line#" in x]
+    every = sorted((t, m, x.line) for x in lines.collect() if x.line for t in set(x.line.split()) for m in [hashlib.md5(f"{t}\x1f{x.line}".encode()).hexdigest()])
+    sized = {"wab": 2, "wac": 1, "wa": 4}
+    for found, size in zip(both, (sized, dict.fromkeys(sized, 4))):
+        assert rows(found.select("tok", "digest", "line", "k")) == sorted(((t, m, line, k) for w in size for k, (t, m, line) in enumerate([e for e in every if e[0] == w][: size[w]], 1)), key=str)
