@@ -36,9 +36,8 @@ def vocabulary(counts: DataFrame, floor: int) -> DataFrame:
 
 def bigrams(lines: DataFrame, vocab: DataFrame | None = None) -> DataFrame:
     """(left, right, count) of neighbours within a line; with vocab (tok), both must be in it and others part their neighbours."""
-    toks = T.tokens(F.lower("line"))
-    pairs = F.zip_with(F.slice("t", 1, F.size("t") - 1), F.slice("t", 2, F.size("t") - 1), lambda a, b: F.struct(a.alias("left"), b.alias("right")))
-    rows = lines.select(toks.alias("t")).filter("size(t) > 1").select(F.inline(pairs))
+    toks = lines.select(T.tokens(F.lower("line")).alias("t")).withColumn("n", F.greatest(F.size("t") - 1, F.lit(0)))
+    rows = toks.select(F.inline(F.arrays_zip(F.slice("t", 1, F.col("n")), F.slice("t", 2, F.col("n")))).alias("left", "right"))
     out = rows.groupBy("left", "right").agg(F.count("*").alias("count"))
     if vocab is not None:
         for side in ("left", "right"):
@@ -46,8 +45,32 @@ def bigrams(lines: DataFrame, vocab: DataFrame | None = None) -> DataFrame:
     return out.select("left", "right", "count")
 
 
-def marginals(pairs: DataFrame) -> DataFrame:
-    """Pairs with n_left, n_right (pairs that begin or end so) and n (all)."""
+def sides(lines: DataFrame) -> DataFrame:
+    """(tok, count, n_left, n_right): unigrams with the pairs that begin and that end with the word."""
+    # Of a slice, as Spark would look for empty arrays before it explodes a column, and so make the tokens twice.
+    toks = lines.select(T.tokens(F.lower("line")).alias("t")).withColumn("n", F.size("t")).select("n", F.posexplode(F.slice("t", 1, F.col("n"))).alias("p", "tok")).filter("tok is not null")
+    out = toks.groupBy("tok").agg(F.count("*").alias("count"), F.count_if(F.col("p") < F.col("n") - 1).alias("n_left"), F.count_if(F.col("p") > 0).alias("n_right"))
+    # Always true, as is the filter above. They name all columns, so that every use of them reads one shuffle, not one of its own columns each.
+    return out.filter(F.col("n_left") + F.col("n_right") <= 2 * F.col("count"))
+
+
+def _all_pairs(words: DataFrame) -> DataFrame:
+    """One row: n, the pairs of all lines, of sides."""
+    return F.broadcast(words.agg(F.sum("n_left").alias("n")))
+
+
+def _of_words(pairs: DataFrame, words: DataFrame, *columns: str) -> DataFrame:
+    """pairs with columns of both words: count as c_left and c_right, n_left and n_right of the word on that side. Pairs are not sorted for it."""
+    for side in ("left", "right"):
+        named = {"c": F.col("count").alias(f"c_{side}"), "n": F.col(f"n_{side}")} if "n" in columns else {"c": F.col("count").alias(f"c_{side}")}
+        pairs = pairs.join(words.select(F.col("tok").alias(side), *(named[c] for c in columns)).hint("shuffle_hash"), side, "left")
+    return pairs
+
+
+def marginals(pairs: DataFrame, words: DataFrame | None = None) -> DataFrame:
+    """Pairs with n_left, n_right (pairs that begin or end so) and n (all), summed over pairs, or taken from words (sides of the lines) if pairs are all of the lines' or some of them."""
+    if words is not None:
+        return _of_words(pairs, words, "n").crossJoin(_all_pairs(words))
     left = pairs.groupBy("left").agg(F.sum("count").alias("n_left"))
     right = pairs.groupBy("right").agg(F.sum("count").alias("n_right"))
     return pairs.join(left, "left").join(right, "right").crossJoin(F.broadcast(pairs.agg(F.sum("count").alias("n"))))
@@ -63,13 +86,33 @@ def dunning(k11: str = "count", left: str = "n_left", right: str = "n_right", n:
     return F.when((a < 0) | (b < 0) | (d < 0) | (e < 0), 0.0).otherwise(g)
 
 
-def collocations(pairs: DataFrame, counts: DataFrame, denominator: str = "max") -> DataFrame:
-    """Pairs with g2 and share (of the max, min, left or right word's count; a word without count has 1)."""
-    out = marginals(pairs)
+def _share(rows: DataFrame, denominator: str) -> DataFrame:
     for side in ("left", "right"):
-        out = out.join(counts.select(F.col("tok").alias(side), F.col("count").alias(f"c_{side}")), side, "left").withColumn(f"c_{side}", F.coalesce(f"c_{side}", F.lit(1)))
+        rows = rows.withColumn(f"c_{side}", F.coalesce(f"c_{side}", F.lit(1)))
     base = {"max": F.greatest("c_left", "c_right"), "min": F.least("c_left", "c_right"), "left": F.col("c_left"), "right": F.col("c_right")}[denominator]
-    return out.withColumn("g2", dunning()).withColumn("share", F.col("count") / base)
+    return rows.withColumn("share", F.col("count") / base)
+
+
+def shares(pairs: DataFrame, counts: DataFrame, denominator: str = "max") -> DataFrame:
+    """Pairs with share (of the max, min, left or right word's count; a word without count has 1)."""
+    return _share(_of_words(pairs, counts, "c"), denominator)
+
+
+def collocations(pairs: DataFrame, counts: DataFrame, denominator: str = "max") -> DataFrame:
+    """Pairs with g2 and share."""
+    return shares(marginals(pairs), counts, denominator).withColumn("g2", dunning())
+
+
+def strong_collocations(pairs: DataFrame, words: DataFrame, min_g2: float, min_share: float) -> DataFrame:
+    """collocations of pairs of whole lines, with words (sides of the lines); of pairs below both limits only some.
+
+    Words of a pair of a lines with a share of min_share (of the max) are in at most a / min_share pairs each. So if a is below min_share^2 n, the pair is
+    commoner than by chance, its g2 falls with either word's pairs, and it is at most that of words in no other pair, below 2 a (ln(n / a) + 1). Pairs whose
+    count alone keeps them from min_g2 so don't meet their words at all.
+    """
+    a, n = F.col("count").cast("double"), F.col("n").cast("double")
+    near = (a >= 0.99 * min_share * min_share * n) | (2 * a * (F.ln(n / a) + 1) >= 0.999 * min_g2)
+    return _share(_of_words(pairs.crossJoin(_all_pairs(words)).filter(near), words, "c", "n"), "max").withColumn("g2", dunning())
 
 
 def retained(scored: DataFrame, known: DataFrame | None = None, min_g2: float = 2500, min_share: float = 0.05) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators on small frames."""
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -203,3 +204,52 @@ def test_contexts_shuffle_no_line_with_its_words(spark):
     sized = {"wab": 2, "wac": 1, "wa": 4}
     for found, size in zip(both, (sized, dict.fromkeys(sized, 4))):
         assert rows(found.select("tok", "digest", "line", "k")) == sorted(((t, m, line, k) for w in size for k, (t, m, line) in enumerate([e for e in every if e[0] == w][: size[w]], 1)), key=str)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_make_tokens_once(spark):
+    """Tokens were made for a filter and again for the pairs."""
+    lines = spark.createDataFrame([("A casa a",), ("a",), ("",), ("a Casa",)], "line string")
+    for df in (C.bigrams(lines), C.sides(lines)):
+        assert plan_of(df).count("regexp_extract_all") == 1
+    assert rows(C.bigrams(lines)) == [("a", "casa", 2), ("casa", "a", 1)]
+    assert rows(C.sides(lines)) == [("a", 4, 2, 1), ("casa", 2, 1, 2)]
+
+
+def test_margins_come_from_words(spark):
+    """Sums over pairs shuffled all pairs twice more and made them again for each sum."""
+    lines = spark.createDataFrame([("a b a b c",), ("b a",), ("c",), ("",), (None,), ("d d d",)], "line string")
+    pairs, words = C.bigrams(lines), C.sides(lines)
+    found = C.marginals(pairs, words)
+    assert plan_of(found).count("inline(") == 1
+    columns = ["left", "right", "count", "n_left", "n_right", "n"]
+    assert rows(found.select(*columns)) == rows(C.marginals(pairs).select(*columns))
+    few = C.marginals(pairs.filter("count >= 2"), words)
+    assert rows(few.select(*columns)) == rows(found.filter("count >= 2").select(*columns))
+
+
+@pytest.mark.parametrize("kind", ["min", "max", "left", "right"])
+def test_shares_need_no_margins(spark, kind):
+    lines = spark.createDataFrame([("a b a b c",), ("b a",), ("c",)], "line string")
+    pairs, counts = C.bigrams(lines), C.unigrams(lines).filter("tok != 'c'")
+    found = C.shares(pairs, counts, kind)
+    assert plan_of(found).count("inline(") == 1
+    assert rows(found.select("left", "right", "share")) == rows(C.collocations(pairs, counts, kind).select("left", "right", "share"))
+
+
+def test_strong_collocations_are_all(spark):
+    """Pairs that their count alone keeps from the limits are left out before the joins, and no others."""
+    rng = random.Random(3)
+    text = [" ".join(rng.choice("ab cd ef gh ij kl mn op qr st uv wx yz".split()) + rng.choice(["", "", "x", "y"]) for _ in range(rng.randrange(12))) for _ in range(900)]
+    text += [f"once{chr(97 + i)} only{chr(97 + i)}" for i in range(5)] + [f"twice{chr(97 + i)} it{chr(97 + i)}" for i in range(5)] * 3
+    lines = spark.createDataFrame([(x,) for x in text], "line string")
+    pairs, words = C.bigrams(lines), C.sides(lines)
+    every = C.collocations(pairs, words)
+    for g2, share in ((1, 0.01), (20, 0.02), (23, 0.001), (30, 0.05), (60, 0.3), (5000, 0.05)):
+        some = C.strong_collocations(pairs, words, g2, share)
+        want = rows(C.retained(every, None, g2, share).select("mwe", "raw_freq", F.round("g2", 6), "share"))
+        assert rows(C.retained(some, None, g2, share).select("mwe", "raw_freq", F.round("g2", 6), "share")) == want
+    assert C.strong_collocations(pairs, words, 30, 0.05).count() < pairs.count()
