@@ -169,7 +169,7 @@ for _kind, _expr in (("min", "least(a.n, b.n)"), ("max", "greatest(a.n, b.n)"),
 
 def mwe_retained(spark, d):
     ls = lines(spark, d)
-    kept = C.retained(C.collocations(C.bigrams(ls), C.unigrams(ls)), None, 60, 0.05)
+    kept = C.retained(C.strong_collocations(C.bigrams(ls), C.sides(ls), 60, 0.05), None, 60, 0.05)
     return kept.select("mwe", "raw_freq", F.round("g2", 4).alias("g2"), F.round("share", 9).alias("share"))
 
 
