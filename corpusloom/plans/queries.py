@@ -135,7 +135,8 @@ def bigram_counts(spark, d):
 
 @query("select l as left, r as right, n as count, sum(n) over (partition by l)::bigint as n_left, sum(n) over (partition by r)::bigint as n_right, sum(n) over ()::bigint as n from bi where (select count(*) from lines) > 0")
 def bigram_marginals(spark, d):
-    return C.marginals(C.bigrams(lines(spark, d)))
+    ls = lines(spark, d)
+    return C.marginals(C.bigrams(ls), C.sides(ls))
 
 
 @query("select l as left, r as right, n as count from bi where l in (select tok from uni where n >= 20) and r in (select tok from uni where n >= 20)")
