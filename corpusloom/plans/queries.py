@@ -151,8 +151,9 @@ g as (select l, r, a::bigint as n, case when a < 0 or b < 0 or dd < 0 or e < 0 t
 
 
 def dunning_g2(spark, d):
-    rows = C.marginals(C.bigrams(lines(spark, d)))
-    return rows.withColumn("g2", F.round(C.dunning(), 4)).filter("count >= 3").select("left", "right", "g2")
+    ls = lines(spark, d)
+    rows = C.marginals(C.bigrams(ls).filter("count >= 3"), C.sides(ls))
+    return rows.select("left", "right", F.round(C.dunning(), 4).alias("g2"))
 
 
 QUERIES["dunning_g2"] = dunning_g2
