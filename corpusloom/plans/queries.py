@@ -163,7 +163,7 @@ for _kind, _expr in (("min", "least(a.n, b.n)"), ("max", "greatest(a.n, b.n)"),
 
     def _share(spark, d, kind=_kind):
         ls = lines(spark, d)
-        return C.collocations(C.bigrams(ls), C.unigrams(ls), kind).filter("count >= 2").select("left", "right", F.round("share", 9).alias("share"))
+        return C.shares(C.bigrams(ls).filter("count >= 2"), C.unigrams(ls), kind).select("left", "right", F.round("share", 9).alias("share"))
 
     QUERIES[f"collocation_share_{_kind}"] = _share
     SQL[f"collocation_share_{_kind}"] = f"with {BASE} select l as left, r as right, round(bi.n / {_expr}, 9) as share from bi join uni a on a.tok = l join uni b on b.tok = r where bi.n >= 2"
